@@ -1,2 +1,168 @@
-QUERIES: dict = {}
-ORACLE: dict = {}
+"""Line dedup: lines within a few edits of a line that comes earlier anywhere in the corpus go.
+
+Native DataFrame functions only. Distinct lines are joined by the segment-partition method: of two lines within t edits,
+one of the t + 1 even segments of the shorter occurs in the longer unchanged, at one of few places that depend on both
+lengths. Segments are hashed with their length class and number, lines probe those of lengths m - t to m at the places
+that the multi-match rule leaves, and pairs that meet are verified by a banded bit-parallel edit distance: the band of
+2 t + 1 diagonals is one machine word, and each character of the shorter line is a step of a few bit operations.
+
+Equal lines are one row before any join, so a line of any frequency costs one row. Only hashes go through the joins;
+texts come back for pairs that met.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lodestone.llm.common import let, table, written
+
+EDITS = 2
+#: Shorter lines are left alone: two edits make other words of them.
+MIN_CHARS = 30
+
+
+def _segments(n: Column, t: int) -> list[tuple[Column, Column]]:
+    """(start, length), from 1, of the t + 1 even segments of a line of n characters; the longer ones come last."""
+    base, extra = F.floor(n / (t + 1)).cast("int"), (n % (t + 1)).cast("int")
+    out, start = [], F.lit(1)
+    for i in range(t + 1):
+        size = base + F.when(t + 1 - i <= extra, 1).otherwise(0)
+        out.append((start, size))
+        start = start + size
+    return out
+
+
+def index_keys(line: Column, t: int) -> Column:
+    n = F.length(line)
+    return F.array(*[F.xxhash64(n, F.lit(i), F.substring(line, a, s)) for i, (a, s) in enumerate(_segments(n, t))])
+
+
+def probe_keys(line: Column, t: int) -> Column:
+    """Keys of the substrings that could be a segment of a line no longer than this one and within t edits."""
+    m, out = F.length(line), []
+    for gap in range(t + 1):
+        n = m - gap
+        for i, (a, s) in enumerate(_segments(n, t)):
+            lo, hi = max(-i, gap - (t - i)), min(i, gap + (t - i))
+            for shift in range(lo, hi + 1):
+                at = a + shift
+                out.append(F.when((at >= 1) & (at + s - 1 <= m), F.xxhash64(n, F.lit(i), F.substring(line, at, s))))
+    return F.filter(F.array(*out), lambda x: x.isNotNull())
+
+
+def banded_distance(longer: Column, shorter: Column, t: int) -> Column:
+    """The edit distance of two lines, right where it's at most t, and above t elsewhere.
+
+    Bit k of a word stands for row j - t + k of column j, so the band moves down a row a column. The last cell's
+    diagonal keeps its bit, and the distance grows where that bit of "equal to the upper left" is clear.
+    """
+    width = 2 * t + 1
+    mask = (1 << width) - 1
+
+    def steps(x: Column) -> Column:
+        a, b = x["a"], x["b"]
+        gap = F.size(a) - F.size(b)
+
+        def step(s: Column, j: Column) -> Column:
+            c = F.get(b, j - 1)
+            equal = sum((F.when(F.get(a, j - (t + 1 - k)) == c, F.lit(1 << k)).otherwise(F.lit(0)) for k in range(width)), F.lit(0))
+
+            def words_(y: Column) -> Column:
+                d0, vp, vn = y["d0"], y["vp"], y["vn"]
+                hp = vn.bitwiseOR(F.bitwise_not(d0.bitwiseOR(vp))).bitwiseAND(F.lit(mask))
+                hn = d0.bitwiseAND(vp)
+                down = F.shiftright(d0, 1)
+                return F.struct(
+                    hn.bitwiseOR(F.bitwise_not(down.bitwiseOR(hp))).bitwiseAND(F.lit(mask)).alias("vp"),
+                    down.bitwiseAND(hp).alias("vn"),
+                    (y["d"] + 1 - F.bit_get(d0, gap + t).cast("int")).alias("d"),
+                )
+
+            both = let(F.struct(equal.alias("e"), s["vp"].alias("vp"), s["vn"].alias("vn"), s["d"].alias("d")), lambda y: F.struct((y["e"].bitwiseAND(y["vp"]) + y["vp"]).bitwiseXOR(y["vp"]).bitwiseOR(y["e"]).bitwiseOR(y["vn"]).bitwiseAND(F.lit(mask)).alias("d0"), y["vp"].alias("vp"), y["vn"].alias("vn"), y["d"].alias("d")))
+            return let(both, words_)
+
+        start = F.struct(F.lit(mask & ~((1 << t) - 1)).alias("vp"), F.lit((1 << t) - 1).alias("vn"), gap.alias("d"))
+        return F.when(gap > t, F.lit(t + 1)).when(F.size(b) == 0, gap).otherwise(F.aggregate(F.sequence(F.lit(1), F.size(b)), start, step, lambda s: s["d"]))
+
+    return let(F.struct(_chars(longer).alias("a"), _chars(shorter).alias("b")), steps)
+
+
+def _chars(c: Column) -> Column:
+    return F.filter(F.split(c, ""), lambda x: x != "")
+
+
+def lines_of(docs: DataFrame, least: int) -> DataFrame:
+    """(doc_id, text_hash, pos, line, h) of every line of at least `least` characters; equal rows of docs count as one document."""
+    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), F.split(F.coalesce("text", F.lit("")), "\n", -1).alias("l"))
+    return d.select("doc_id", "text_hash", F.posexplode("l").alias("pos", "line")).filter(F.length("line") >= least).withColumn("h", F.xxhash64("line"))
+
+
+def later_lines(distinct: DataFrame, t: int = EDITS) -> DataFrame:
+    """(h) of the distinct lines (h, line, first) that lie within t edits of one whose first place is earlier."""
+    keys = distinct.select("h", index_keys(F.col("line"), t).alias("i"), probe_keys(F.col("line"), t).alias("p"))
+    index = keys.select(F.explode("i").alias("key"), F.col("h").alias("a"))
+    probe = keys.select(F.explode(F.array_distinct("p")).alias("key"), F.col("h").alias("b"))
+    met = index.join(probe, "key").filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    met = written(met, "line-pairs")
+    one = distinct.select(F.col("h").alias("a"), F.col("line").alias("x"), F.col("first").alias("fx"))
+    two = distinct.select(F.col("h").alias("b"), F.col("line").alias("y"), F.col("first").alias("fy"))
+    both = met.join(one, "a").join(two, "b")
+    swap = F.length("x") >= F.length("y")
+    near = banded_distance(F.when(swap, F.col("x")).otherwise(F.col("y")), F.when(swap, F.col("y")).otherwise(F.col("x")), t) <= t
+    return both.filter(near).select(F.when(F.col("fx") < F.col("fy"), F.col("b")).otherwise(F.col("a")).alias("h")).distinct()
+
+
+def removed_lines(docs: DataFrame, t: int = EDITS, least: int = MIN_CHARS) -> DataFrame:
+    """(doc_id, text_hash, removed): the numbers, from 0, of the lines that go, sorted; documents that lose none are absent.
+
+    A line goes unless its place (doc_id, number) is the first of its text and no distinct line with an earlier first
+    place is within t edits. Null doc_ids come before all others.
+    """
+    lines = lines_of(docs, least)
+    distinct = written(lines.groupBy("h").agg(F.first("line").alias("line"), F.min(F.struct("doc_id", "text_hash", "pos")).alias("first")), "lines")
+    later = later_lines(distinct, t).withColumn("late", F.lit(True))
+    verdict = distinct.select("h", "first").join(later, "h", "left")
+    placed = lines.select("doc_id", "text_hash", "pos", "h").join(verdict, "h")
+    same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash")) & (F.col("pos") == F.col("first.pos"))
+    gone = placed.filter(F.col("late").isNotNull() | ~same)
+    return gone.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set("pos")).alias("removed"))
+
+
+def dedup_lines(docs: DataFrame, t: int = EDITS, least: int = MIN_CHARS) -> DataFrame:
+    """docs (doc_id, text, ...) with removed (line numbers) and clean_text, the text without them; null text stays null.
+
+    Other columns and repeated rows stay; columns that bear an added name are replaced. An empty table gives an empty one.
+    """
+    found = removed_lines(docs, t, least).select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h"), F.col("removed").alias("_r"))
+    base = docs.drop(*[c for c in ("removed", "clean_text") if c not in ("doc_id", "text")]).withColumn("_t", F.xxhash64(F.coalesce("text", F.lit(""))))
+    out = base.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col("_d")) & (F.col("_t") == F.col("_h")), "left")
+    keep = F.filter(F.split("text", "\n", -1), lambda x, i: ~F.array_contains(F.col("_r"), i))
+    return out.withColumn("removed", F.coalesce("_r", F.array().cast("array<int>"))).withColumn("clean_text", F.when(F.col("_r").isNull(), F.col("text")).otherwise(F.array_join(keep, "\n"))).drop("_t", "_d", "_h", "_r")
+
+
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = removed_lines(docs).select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h"), "removed")
+    d = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("_t"), F.size(F.split(F.coalesce("text", F.lit("")), "\n", -1)).cast("long").alias("n_lines"))
+    out = d.join(found, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_t") == F.col("_h")), "left")
+    return out.select("doc_id", "n_lines", F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"), F.coalesce(F.concat_ws(",", F.col("removed").cast("array<string>")), F.lit("")).alias("removed"))
+
+
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pipeline stage: texts lose their later lines; documents without a word left go, as all they had is kept elsewhere."""
+    out = dedup_lines(docs).filter((F.size("removed") == 0) | (F.col("clean_text").rlike(r"[^\x20\x09-\x0D]")))
+    return out.select(*[F.col("clean_text").alias("text") if c == "text" else F.length("clean_text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
+
+
+ORACLE_SQL = f"""
+WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, unnest(range(0, len(string_split(coalesce(text, ''), chr(10))))) AS pos FROM documents),
+f AS (SELECT line, length(line) AS n, min({{'d': doc_id, 'p': pos}}) AS first FROM l WHERE length(line) >= {MIN_CHARS} GROUP BY line),
+late AS (SELECT DISTINCT a.line FROM f a JOIN f b ON b.n BETWEEN a.n - {EDITS} AND a.n + {EDITS} AND b.first < a.first AND levenshtein(a.line, b.line) <= {EDITS}),
+g AS (SELECT l.doc_id, l.pos, length(l.line) >= {MIN_CHARS} AND (late.line IS NOT NULL OR f.first.d <> l.doc_id OR f.first.p <> l.pos) AS gone
+ FROM l LEFT JOIN f ON l.line = f.line LEFT JOIN late ON l.line = late.line)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_removed,
+ coalesce(string_agg(CASE WHEN gone THEN pos::varchar END, ',' ORDER BY pos), '') AS removed FROM g GROUP BY doc_id"""
+
+QUERIES = {"op1_line_dedup": op1_line_dedup}
+ORACLE = {"op1_line_dedup": ORACLE_SQL}

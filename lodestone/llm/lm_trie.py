@@ -1,2 +1,476 @@
-QUERIES: dict = {}
-ORACLE: dict = {}
+"""Language-model scoring by an Elias-Fano n-gram trie in memory-mapped levels.
+
+Level 1 holds the sorted 64-bit hashes of all training words as an Elias-Fano sequence; a word's id is its rank. A node
+of level k is (parent, label): parent is the rank of the first k - 1 words on level k - 1, label the rank of the last
+k - 1 words *among the successors of their own context*. Labels are thus small, and parent * M + label grows along the
+level, so one Elias-Fano sequence holds it; a second, monotone one holds where each parent's successors start. Finding an
+n-gram is a successor search in that sequence. With every node go its quantised discounted probability, and with every
+parent its quantised back-off weight.
+
+The model is a set of shard files in the shared folder, cut from the sorted level at equal shares of the text, so that a
+word with a third of all successors spans shards. Tasks map the files; no model goes through the driver, which keeps a
+line per shard. Smoothing is interpolated absolute discounting down to add-one word probabilities; n-grams of two or more
+words seen once are pruned.
+"""
+
+from __future__ import annotations
+
+import json
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lodestone.llm.common import hash_words, merge_counts, mix64, scratch, small_batches, store_map, store_put, table
+
+ORDER = 3
+DISCOUNT = 0.75
+LEAST_COUNT = 2
+#: Steps of a quantised log10: 1 / QUANT.
+QUANT = 4096
+#: Characters of training text a shard.
+SHARD_CHARS = 32 << 20
+LEAST_SHARDS = 16
+END = int(mix64(np.array([0x5E4D], np.uint64))[0])
+BUFFER = 3_000_000
+
+U = np.uint64
+
+
+def select_in_word(w: np.ndarray, r: np.ndarray) -> np.ndarray:
+    """The place of the r-th one (from 0) of each word."""
+    at = np.zeros(len(w), np.int64)
+    for s in (32, 16, 8, 4, 2, 1):
+        c = np.bitwise_count(w & U((1 << s) - 1)).astype(np.int64)
+        up = r >= c
+        r = np.where(up, r - c, r)
+        w = np.where(up, w >> U(s), w)
+        at += up * s
+    return at
+
+
+def pack_sequence(values: np.ndarray, name: str) -> tuple[dict[str, np.ndarray], dict]:
+    """A monotone uint64 sequence as high bits in unary with rank directories, and packed low bits."""
+    n = len(values)
+    base = int(values[0]) if n else 0
+    v = values - U(base)
+    top = int(v[-1]) if n else 0
+    low = max(0, (top // max(n, 1)).bit_length() - 1)
+    high = (v >> U(low)).astype(np.int64)
+    ones = high + np.arange(n)
+    words = (int(high[-1]) + n) // 64 + 1 if n else 1
+    bits = np.zeros(words * 64, np.uint8)
+    bits[ones] = 1
+    h = np.packbits(bits, bitorder="little").view(U)
+    before = np.concatenate(([0], np.cumsum(np.bitwise_count(h).astype(np.int64))[:-1]))
+    packed = np.zeros(n * low // 64 + 2, U)
+    if low and n:
+        bit = np.arange(n, dtype=np.int64) * low
+        w, o = bit >> 6, (bit & 63).astype(U)
+        part = v & U((1 << low) - 1)
+        first = np.flatnonzero(np.concatenate(([True], w[1:] != w[:-1])))
+        packed[w[first]] |= np.add.reduceat(part << o, first)
+        packed[w[first] + 1] |= np.bitwise_or.reduceat((part >> U(1)) >> (U(63) - o), first)
+    return {f"{name}_h": h, f"{name}_one": before.astype(np.uint32), f"{name}_zero": (64 * np.arange(words) - before).astype(np.uint32), f"{name}_low": packed}, {"n": n, "low": low, "base": base}
+
+
+class Sequence:
+    """Access and search in a packed sequence, many queries at once."""
+
+    def __init__(self, arrays: dict[str, np.ndarray], name: str, info: dict):
+        self.h, self.one, self.zero, self.packed = (arrays[f"{name}_{x}"] for x in ("h", "one", "zero", "low"))
+        self.n, self.low, self.base = info["n"], info["low"], info["base"]
+
+    def low_bits(self, i: np.ndarray) -> np.ndarray:
+        if not self.low:
+            return np.zeros(len(i), U)
+        bit = i * self.low
+        w, o = bit >> 6, (bit & 63).astype(U)
+        return (self.packed[w] >> o | (self.packed[w + 1] << U(1)) << (U(63) - o)) & U((1 << self.low) - 1)
+
+    def access(self, i: np.ndarray) -> np.ndarray:
+        w = np.searchsorted(self.one, i, side="right") - 1
+        at = w * 64 + select_in_word(self.h[w], i - self.one[w].astype(np.int64))
+        return (at - i).astype(U) << U(self.low) | self.low_bits(i) if self.low else (at - i).astype(U)
+
+    def value(self, i: np.ndarray) -> np.ndarray:
+        return self.access(i) + U(self.base)
+
+    def _zero(self, k: np.ndarray) -> np.ndarray:
+        w = np.searchsorted(self.zero, k, side="right") - 1
+        return w * 64 + select_in_word(~self.h[w], k - self.zero[w].astype(np.int64))
+
+    def find(self, x: np.ndarray) -> np.ndarray:
+        """The place of each value, -1 where absent: successor search among those with the same high bits."""
+        out = np.full(len(x), -1, np.int64)
+        sel = np.flatnonzero(x >= U(self.base)) if self.n else np.zeros(0, np.int64)
+        y = x[sel] - U(self.base)
+        most = int(self.access(np.array([self.n - 1]))[0]) if self.n else 0
+        sel, y = sel[y <= U(most)], y[y <= U(most)]
+        if not len(sel):
+            return out
+        high = (y >> U(self.low)).astype(np.int64)
+        want = y & U((1 << self.low) - 1)
+        lo = np.where(high > 0, self._zero(np.maximum(high - 1, 0)) + 1 - high, 0)
+        hi = self._zero(high) - high
+        end = hi.copy()
+        while True:  # the first of the run whose low bits aren't less
+            open_ = np.flatnonzero(lo < hi)
+            if not len(open_):
+                break
+            mid = (lo[open_] + hi[open_]) >> 1
+            less = self.low_bits(mid) < want[open_]
+            lo[open_[less]] = mid[less] + 1
+            hi[open_[~less]] = mid[~less]
+        there = np.flatnonzero(lo < end)
+        there = there[self.low_bits(lo[there]) == want[there]]
+        out[sel[there]] = lo[there]
+        return out
+
+
+def write_shard(uri: str, arrays: dict[str, np.ndarray], info: dict) -> None:
+    at, places, blobs = 0, {}, []
+    for k, a in arrays.items():
+        b = np.ascontiguousarray(a).tobytes()
+        places[k] = (a.dtype.str, at, len(a))
+        b += bytes(-len(b) % 8)
+        blobs.append(b)
+        at += len(b)
+    head = json.dumps({"arrays": places, "info": info}).encode()
+    head += b" " * (-len(head) % 8)
+    store_put(uri, len(head).to_bytes(8, "little") + head + b"".join(blobs))
+
+
+class Shard:
+    def __init__(self, uri: str):
+        raw = store_map(uri)
+        n = int.from_bytes(raw[:8].tobytes(), "little")
+        head = json.loads(raw[8 : 8 + n].tobytes())
+        self.info = head["info"]
+        self.a = {k: raw[8 + n + at : 8 + n + at + size * np.dtype(kind).itemsize].view(kind) for k, (kind, at, size) in head["arrays"].items()}
+        self.keys = Sequence(self.a, "key", self.info["key"])
+        self.starts = Sequence(self.a, "ptr", self.info["ptr"]) if "ptr" in self.info else None
+
+
+class Level:
+    """A level's shards in order; ids are places in the whole level."""
+
+    def __init__(self, meta: dict):
+        self.meta, self.shards = meta, [Shard(s["uri"]) for s in meta["shards"]]
+        self.first = np.array([s["first"] for s in meta["shards"]], U)
+        self.begin = np.array([0, *np.cumsum([s["n"] for s in meta["shards"]])], np.int64)
+        self.mass = np.array([0, *np.cumsum([s["mass"] for s in meta["shards"]])], np.int64)
+        self.size, self.total = int(self.begin[-1]), int(self.mass[-1])
+        self.lent = (np.array([p for p, _ in meta.get("lent", [])], np.int64), np.array([x for _, x in meta.get("lent", [])], float))
+
+    def _each(self, where: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        for s in np.unique(where):
+            yield int(s), np.flatnonzero(where == s)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        out = np.full(len(keys), -1, np.int64)
+        for s, sel in self._each(np.searchsorted(self.first, keys, side="right") - 1):
+            if s >= 0:
+                got = self.shards[s].keys.find(keys[sel])
+                out[sel] = np.where(got >= 0, got + self.begin[s], -1)
+        return out
+
+    def gather(self, name: str, ids: np.ndarray, shift: int = 0) -> np.ndarray:
+        """An array's values at ids; of the running sums, those before the node (shift 0) or after it (1)."""
+        out = np.zeros(len(ids), np.int64)
+        for s, sel in self._each(np.searchsorted(self.begin, ids, side="right") - 1):
+            out[sel] = self.shards[s].a[name][ids[sel] - self.begin[s] + shift]
+        return out
+
+    def before(self, ids: np.ndarray) -> np.ndarray:
+        """Training tokens of all nodes before each."""
+        return self.gather("cum", ids) + self.mass[np.searchsorted(self.begin, ids, side="right") - 1]
+
+    def count(self, ids: np.ndarray) -> np.ndarray:
+        return self.gather("cum", ids, 1) - self.gather("cum", ids)
+
+    def start(self, parents: np.ndarray) -> np.ndarray:
+        """Where each parent's successors start."""
+        m = U(self.meta["m"])
+        out = np.zeros(len(parents), np.int64)
+        for s, sel in self._each(np.searchsorted(self.first, parents.astype(U) * m, side="right") - 1):
+            if s < 0:
+                continue
+            info, shard = self.shards[s].info, self.shards[s]
+            p = parents[sel]
+            inside = (p >= info["p0"]) & (p <= info["p1"])
+            got = np.full(len(sel), self.begin[s + 1], np.int64)
+            if inside.any():
+                got[inside] = shard.starts.value(p[inside] - info["p0"]).astype(np.int64) + self.begin[s]
+            out[sel] = got
+        return out
+
+    def left(self, parents: np.ndarray) -> np.ndarray:
+        """Back-off weights; 1 for parents without successors."""
+        out = np.ones(len(parents))
+        first = np.array([s.info["p0"] for s in self.shards], np.int64)
+        for s, sel in self._each(np.searchsorted(first, parents, side="right") - 1):
+            if s < 0:
+                continue
+            info, p = self.shards[s].info, parents[sel]
+            inside = p <= info["p1"]
+            q = self.shards[s].a["left"][p[inside] - info["p0"]].astype(float)
+            out[sel[inside]] = 10 ** (-q / QUANT)
+        if len(self.lent[0]):
+            i = np.minimum(np.searchsorted(self.lent[0], parents), len(self.lent[0]) - 1)
+            out = np.where(self.lent[0][i] == parents, self.lent[1][i], out)
+        return out
+
+    def found(self, ids: np.ndarray) -> np.ndarray:
+        """Discounted probabilities of nodes, 0 for -1."""
+        out = np.zeros(len(ids))
+        sel = np.flatnonzero(ids >= 0)
+        if len(sel):
+            out[sel] = 10 ** (-self.gather("prob", ids[sel]) / QUANT)
+        return out
+
+
+_OPEN: dict[str, list[Level]] = {}
+
+
+def opened(model: dict) -> list[Level]:
+    """A worker maps each model once."""
+    if model["name"] not in _OPEN:
+        _OPEN.clear()
+        _OPEN[model["name"]] = [Level(m) for m in model["levels"]]
+    return _OPEN[model["name"]]
+
+
+def distinct_find(level: Level, keys: np.ndarray) -> np.ndarray:
+    u, back = np.unique(keys, return_inverse=True)
+    return level.find(u)[back]
+
+
+def token_ids(levels: list[Level], texts: pa.Array) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """(bounds of texts among tokens, node ids of each order at each token, whether a token starts its text)."""
+    h, at = hash_words(texts)
+    docs = len(at) - 1
+    bounds = at + np.arange(docs + 1)
+    tokens = np.empty(len(h) + docs, U)
+    last = bounds[1:] - 1
+    ends = np.zeros(len(tokens), bool)
+    ends[last] = True
+    tokens[ends] = U(END)
+    tokens[~ends] = h
+    fresh = np.zeros(len(tokens), bool)
+    fresh[bounds[:-1]] = True
+    ids = []
+    if levels:
+        ids.append(distinct_find(levels[0], tokens))
+    for k in range(1, len(levels)):
+        ids.append(next_ids(levels, k, ids, fresh))
+    return bounds, ids, fresh
+
+
+def next_keys(levels: list[Level], k: int, ids: list[np.ndarray], fresh: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens that end an n-gram of k + 1 words which level k could hold, and the n-grams' keys."""
+    before = np.concatenate(([-1], ids[k - 1][:-1]))
+    if k == 1:  # what comes first follows an end
+        end = int(levels[0].find(np.array([END], U))[0])
+        before = np.where(fresh, end, before)
+        sel = np.flatnonzero((before >= 0) & (ids[0] >= 0))
+        label = ids[0][sel]
+    else:
+        sel = np.flatnonzero((before >= 0) & (ids[k - 1] >= 0) & ~fresh)
+        context = np.concatenate(([-1], ids[k - 2][:-1]))[sel]
+        u, back = np.unique(context, return_inverse=True)
+        label = ids[k - 1][sel] - levels[k - 1].start(u)[back]
+    return sel, before[sel].astype(U) * U(m) + label.astype(U)
+
+
+def next_ids(levels: list[Level], k: int, ids: list[np.ndarray], fresh: np.ndarray) -> np.ndarray:
+    out = np.full(len(fresh), -1, np.int64)
+    if levels[k].size:
+        sel, keys = next_keys(levels, k, ids, fresh, levels[k].meta["m"])
+        out[sel] = distinct_find(levels[k], keys)
+    return out
+
+
+def _counted(model: dict, k: int, shards: int):
+    """Counts n-grams of k + 1 words by task: (shard, key, count)."""
+
+    def batch_of(keys: np.ndarray, counts: np.ndarray, levels: list[Level], m: int) -> Iterator[pa.RecordBatch]:
+        for a in range(0, len(keys), 1 << 19):
+            x, c = keys[a : a + (1 << 19)], counts[a : a + (1 << 19)]
+            if k == 0:
+                share = (x >> U(32)).astype(float) / 2.0**32
+            else:
+                up = levels[k - 1]
+                p, label = (x // U(m)).astype(np.int64), (x % U(m)).astype(float)
+                share = (up.before(p) + up.count(p) * (label / m)) / max(1, up.total)
+            s = np.minimum((share * shards).astype(np.int32), shards - 1)
+            yield pa.RecordBatch.from_arrays([pa.array(s), pa.array(x.view(np.int64)), pa.array(c.astype(np.int64))], ["shard", "key", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        levels = opened(model) if k else []
+        m = levels[0].size if k else 0
+        keys, counts, held = [], [], 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if k == 0:
+                h, at = hash_words(batch.column(0))
+                x, c = np.unique(np.concatenate((h, np.full(len(at) - 1, END, U))), return_counts=True)
+            else:
+                _, ids, fresh = token_ids(levels, batch.column(0))
+                x, c = np.unique(next_keys(levels, k, ids, fresh, m)[1], return_counts=True)
+            keys.append(x)
+            counts.append(c)
+            held += len(x)
+            if held > BUFFER:
+                x, c = merge_counts(keys, counts)
+                if len(x) > BUFFER // 2:
+                    yield from batch_of(x, c, levels, m)
+                    keys, counts, held = [], [], 0
+                else:
+                    keys, counts, held = [x], [c], len(x)
+        if keys:
+            yield from batch_of(*merge_counts(keys, counts), levels, m)
+
+    return run
+
+
+def _built(model: dict, k: int, folder: str):
+    """Writes a level's shards from sorted rows; a line of figures for each."""
+
+    def finish(shard: int, keys: np.ndarray, counts: np.ndarray) -> dict | None:
+        x, c = merge_counts([keys], [counts])
+        if k:
+            keep = c >= LEAST_COUNT
+            x, c = x[keep], c[keep]
+        if not len(x):
+            return None
+        arrays, key = pack_sequence(x, "key")
+        info = {"key": key}
+        arrays["cum"] = np.concatenate(([0], np.cumsum(c))).astype(np.int64)
+        line = {"shard": shard, "n": len(x), "mass": int(c.sum()), "first": int(x[0])}
+        if k:
+            levels = opened(model)
+            m = levels[0].size
+            p = (x // U(m)).astype(np.int64)
+            p0, p1 = int(p[0]), int(p[-1])
+            u, back = np.unique(p, return_inverse=True)
+            a = (c - DISCOUNT) / levels[k - 1].count(u)[back]
+            arrays["prob"] = np.minimum(65535, np.round(-np.log10(a) * QUANT)).astype(np.uint16)
+            used = np.zeros(p1 - p0 + 1)
+            used[u - p0] = np.bincount(back, weights=a)
+            arrays["left"] = np.minimum(65535, np.round(-np.log10(np.maximum(1e-9, 1 - used)) * QUANT)).astype(np.uint16)
+            ptr, about = pack_sequence(np.searchsorted(p, np.arange(p0, p1 + 2)).astype(U), "ptr")
+            arrays |= ptr
+            info |= {"ptr": about, "p0": p0, "p1": p1}
+            line |= {"p0": p0, "p1": p1, "used0": float(used[0]), "used1": float(used[-1])}
+        line["uri"] = f"{folder}/level{k + 1}-{shard}-{np.random.default_rng().integers(1 << 62):x}"
+        write_shard(line["uri"], arrays, info)
+        return line
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, keys, counts, lines = None, [], [], []
+
+        def close() -> None:
+            if now is not None and (line := finish(now, np.concatenate(keys), np.concatenate(counts))):
+                lines.append(json.dumps(line))
+
+        for batch in batches:
+            s, x, n = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            for v in np.unique(s):
+                sel = s == v
+                if v != now:
+                    close()
+                    now, keys, counts = int(v), [], []
+                keys.append(x[sel].view(U))
+                counts.append(n[sel])
+        close()
+        yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], ["line"])
+
+    return run
+
+
+def train(docs: DataFrame, order: int = ORDER) -> dict:
+    """A model of docs (text, ...): a description whose size is a line per shard, the levels being files in the shared folder.
+
+    Null texts are empty and count an end. An empty table makes a model without words. Each level is one counting pass,
+    one shuffle of counts that tasks have summed, and one task per shard that writes its file.
+    """
+    spark = docs.sparkSession
+    small_batches(spark)
+    texts = docs.select("text")
+    chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
+    shards = max(LEAST_SHARDS, -(-chars // SHARD_CHARS))
+    folder = scratch(spark, "trie")
+    model = {"name": folder, "levels": []}
+    for k in range(order):
+        if k and not model["levels"][k - 1]["shards"]:
+            break
+        at = model | {"name": f"{folder}#{k}"}
+        rows = texts.mapInArrow(_counted(at, k, shards), "shard int, key long, n long").repartition(shards, "shard").sortWithinPartitions("shard")
+        lines = sorted((json.loads(r["line"]) for r in rows.mapInArrow(_built(at, k, folder), "line string").collect()), key=lambda x: x["shard"])
+        meta = {"shards": lines, "m": sum(s["n"] for s in (model["levels"][0]["shards"] if k else lines))}
+        if k:
+            if sum(s["n"] for s in lines) and sum(s["n"] for s in model["levels"][k - 1]["shards"]) * meta["m"] >= 1 << 63:
+                raise ValueError("parents times labels of a level exceed 63 bits")
+            mass: dict[int, list[float]] = {}
+            for s in lines:
+                mass.setdefault(s["p0"], []).append(s["used0"])
+                if s["p1"] != s["p0"]:
+                    mass.setdefault(s["p1"], []).append(s["used1"])
+            meta["lent"] = sorted((p, max(1e-9, 1 - sum(x))) for p, x in mass.items() if len(x) > 1)
+        model["levels"].append(meta)
+    return model | {"name": f"{folder}#whole", "tokens": sum(s["mass"] for s in model["levels"][0]["shards"]), "words": sum(s["n"] for s in model["levels"][0]["shards"])}
+
+
+SCORES = "doc_id long, n_tokens long, n_known long, base_score double, score double"
+
+
+def score(docs: DataFrame, model: dict) -> DataFrame:
+    """SCORES for each row of docs (doc_id, text, ...): null text is empty and has one token, its end."""
+    small_batches(docs.sparkSession)
+    total, distinct = model["tokens"], model["words"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        levels = opened(model)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            bounds, ids, fresh = token_ids(levels, batch.column(1))
+            first = ids[0]
+            known = first >= 0
+            count = np.zeros(len(first), np.int64)
+            u, back = np.unique(first[known], return_inverse=True)
+            count[known] = levels[0].count(u)[back]
+            p = (count + 1) / (total + distinct + 1)
+            base = np.log10(p)
+            for k in range(1, len(levels)):
+                context = np.concatenate(([-1], ids[k - 1][:-1]))
+                if k == 1:
+                    context = np.where(fresh, int(levels[0].find(np.array([END], U))[0]), context)
+                else:
+                    context = np.where(fresh, -1, context)
+                sel = np.flatnonzero(context >= 0)
+                if len(sel) and levels[k].size:
+                    u, back = np.unique(context[sel], return_inverse=True)
+                    p[sel] = levels[k].found(ids[k][sel]) + levels[k].left(u)[back] * p[sel]
+            sums = lambda x: np.add.reduceat(x, bounds[:-1])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(np.diff(bounds)), pa.array(sums(known.astype(np.int64))), pa.array(sums(base)), pa.array(sums(np.log10(p)))], [x.split()[0] for x in SCORES.split(", ")]
+            )
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SCORES)
+
+
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from all documents but a seventh, scores all. A null doc_id is learnt from."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held = lambda: F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.lit(False))
+    model = train(docs.filter(~held()))
+    return score(docs, model).select("doc_id", held().alias("held_out"), "n_tokens", "n_known", F.lit(model["tokens"]).cast("long").alias("train_tokens"), "base_score", "score")
+
+
+QUERIES = {"op3_lm_scoring": op3_lm_scoring}
+ORACLE: dict[str, str] = {}

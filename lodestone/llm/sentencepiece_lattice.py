@@ -1,2 +1,243 @@
-QUERIES: dict = {}
-ORACLE: dict = {}
+"""SentencePiece encoding and decoding over a relational lattice.
+
+A text is escaped as the library does it (a leading and every space as U+2581) and falls into words that no piece spans.
+Distinct words explode into their substrings of bounded length, an equi-join to the piece table (a vocabulary file, some
+tens of thousands of rows) leaves the lattice's edges, and edges grouped by word are folded with a higher-order
+aggregate. For unigram models the fold is Viterbi's. The given model is BPE, whose ids no sum of scores yields: there the
+fold merges the adjacent pair of the best score, leftmost of ties, until no edge spans two neighbours.
+
+Words' ids go into shard files in the shared folder, mapped by the tasks that write texts' ids. Characters outside of the
+vocabulary become byte pieces.
+"""
+
+from __future__ import annotations
+
+import hashlib
+import re
+import zlib
+from collections.abc import Iterator
+from functools import lru_cache
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lodestone.llm.common import scratch, small_batches, store_map, store_put, table
+
+MODEL = "piece_bpe_32k.model"
+SPACE = "▁"
+#: Words: a run of control characters one by one, or spaces with what follows them.
+WORD = re.compile(rf"[\x00-\x1f]|{SPACE}*[^{SPACE}\x00-\x1f]+|{SPACE}+")
+SHARD_CHARS = 16 << 20
+LEAST_SHARDS = 16
+
+
+@lru_cache(maxsize=2)
+def processor(model: str):
+    import public_tokenizers
+    import sentencepiece
+
+    return sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(model))
+
+
+def piece_table(spark: SparkSession, model: str = MODEL) -> tuple[DataFrame, int]:
+    """(piece, id, score) of a model's ordinary pieces, and the longest one's length."""
+    sp = processor(model)
+    rows = [(sp.id_to_piece(i), i, float(sp.get_score(i))) for i in range(sp.vocab_size()) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i))]
+    return spark.createDataFrame(rows, "piece string, id int, score double"), max(len(p) for p, _, _ in rows)
+
+
+def lattice(words: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
+    """words (shard, word) with their edges: structs of start, end, id and score; id is null where a character has no piece."""
+    starts = words.select("shard", "word", F.explode(F.sequence(F.lit(0), F.length("word") - 1)).alias("s"))
+    subs = starts.select("shard", "word", "s", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), F.length("word") - F.col("s")))).alias("n"))
+    subs = subs.withColumn("piece", F.substring(F.col("word"), F.col("s") + 1, F.col("n")))
+    met = subs.join(F.broadcast(pieces), "piece", "left").filter(F.col("id").isNotNull() | (F.col("n") == 1))
+    return met.groupBy("shard", "word").agg(F.collect_list(F.struct(F.col("s"), (F.col("s") + F.col("n")).alias("e"), "id", "score")).alias("edges"))
+
+
+def merged_cuts(edges: Column, n: Column) -> Column:
+    """Byte-pair encoding as a fold: the cuts that are left when the best-scored edge over two neighbours is merged, again and again."""
+    longer = F.filter(edges, lambda x: x["e"] - x["s"] > 1)
+
+    def fold(many: Column) -> Column:
+        def step(cuts: Column, _: Column) -> Column:
+            def at(x: Column) -> Column:
+                return F.array_position(cuts, x["s"]).cast("int")
+
+            fits = F.filter(many, lambda x: (at(x) > 0) & (F.get(cuts, at(x) + 1) == x["e"]))
+            best = F.array_min(F.transform(fits, lambda x: F.struct((-x["score"]).alias("c"), x["s"].alias("s"), x["e"].alias("e"))))
+            return F.transform(F.array(best), lambda b: F.when(b.isNull(), cuts).otherwise(F.filter(cuts, lambda c: (c <= b["s"]) | (c >= b["e"]))))[0]
+
+        return F.aggregate(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), F.sequence(F.lit(0), n), step)
+
+    return F.transform(F.array(longer), fold)[0]
+
+
+def viterbi_cuts(edges: Column, n: Column, unknown: float = -100.0) -> Column:
+    """The cuts of the path of the largest sum of scores; of equal ones, that whose last piece is longest."""
+    start = F.array(F.struct(F.lit(0.0).alias("v"), F.array(F.lit(0)).alias("cuts")))
+
+    def step(best: Column, end: Column) -> Column:
+        into = F.filter(edges, lambda x: x["e"] == end)
+        ways = F.transform(into, lambda x: F.struct((F.get(best, x["s"])["v"] + F.coalesce(x["score"], F.lit(unknown))).alias("v"), (-x["s"]).alias("l"), F.concat(F.get(best, x["s"])["cuts"], F.array(end)).alias("cuts")))
+        return F.concat(best, F.array(F.transform(F.array(F.array_max(ways)), lambda w: F.struct(w["v"].alias("v"), w["cuts"].alias("cuts")))[0]))
+
+    return F.element_at(F.aggregate(F.sequence(F.lit(1), n), start, step), -1)["cuts"]
+
+
+def word_pieces(words: DataFrame, pieces: DataFrame, longest: int, kind: str = "bpe") -> DataFrame:
+    """(shard, word, cuts, ids) of words (shard, word): ids of the pieces between the cuts, null for a character without one."""
+    got = lattice(words, pieces, longest).withColumn("n", F.length("word"))
+    got = got.withColumn("cuts", (merged_cuts if kind == "bpe" else viterbi_cuts)(F.col("edges"), F.col("n")))
+    # edges as a map from start and end, so that a path's ids are looked up in one pass
+    chosen = F.filter("edges", lambda x: (F.array_position("cuts", x["s"]) > 0) & (F.get("cuts", F.array_position("cuts", x["s"]).cast("int")) == x["e"]))
+    ids = F.transform(F.array_sort(F.transform(chosen, lambda x: F.struct(x["s"].alias("s"), x["id"].alias("id")))), lambda x: x["id"])
+    return got.select("shard", "word", "cuts", ids.alias("ids"))
+
+
+def _units(text: str) -> list[str]:
+    return WORD.findall(SPACE + text.replace(" ", SPACE)) if text else []
+
+
+def _shard(word: bytes, shards: int) -> int:
+    return zlib.crc32(word) % shards
+
+
+def dictionary(docs: DataFrame, text: str = "text", model: str = MODEL) -> list[dict]:
+    """Encode the distinct words of docs into shard files; a line per file. A task gives each word once per batch of texts it holds."""
+    spark = docs.sparkSession
+    small_batches(spark)
+    chars = docs.agg(F.sum(F.length(text))).first()[0] or 0
+    shards = max(LEAST_SHARDS, -(-chars // SHARD_CHARS))
+    pieces, longest = piece_table(spark, model)
+    folder = scratch(spark, "pieces")
+
+    def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(seen: set[str]) -> pa.RecordBatch:
+            words = list(seen)
+            return pa.RecordBatch.from_arrays([pa.array([_shard(w.encode(), shards) for w in words], pa.int32()), pa.array(words, pa.string())], ["shard", "word"])
+
+        seen: set[str] = set()
+        for batch in batches:
+            for t in batch.column(0).to_pylist():
+                seen.update(_units(t or ""))
+            if len(seen) > 400_000:
+                yield out(seen)
+                seen = set()
+        yield out(seen)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        by: dict[int, list[tuple[int, bytes]]] = {}
+        for batch in batches:
+            for s, w, cuts, ids in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                flat = []
+                for a, b, i in zip(cuts, cuts[1:], ids, strict=False):
+                    flat += [i] if i is not None else [3 + x for x in w[a:b].encode()]
+                by.setdefault(s, []).append((xxhash.xxh64_intdigest(w.encode()), np.array(flat, "<u2").tobytes()))
+        lines = []
+        for s, rows in by.items():
+            rows.sort()
+            uri = f"{folder}/{s}-{np.random.default_rng().integers(1 << 62):x}"
+            sizes = np.cumsum([0, *(len(x) // 2 for _, x in rows)]).astype("<u8")
+            store_put(uri, np.array([h for h, _ in rows], "<u8").tobytes() + sizes.tobytes() + b"".join(x for _, x in rows))
+            lines.append((s, uri, len(rows)))
+        yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in lines], k) for i, k in enumerate((pa.int32(), pa.string(), pa.int64()))], ["shard", "uri", "n"])
+
+    words = docs.select(text).mapInArrow(distinct, "shard int, word string").repartition(shards, "shard").dropDuplicates(["shard", "word"])
+    coded = word_pieces(words, pieces, longest).mapInArrow(write, "shard int, uri string, n long")
+    files = [r.asDict() for r in coded.collect()]
+    return [{"shard": r["shard"], "uri": r["uri"], "n": r["n"], "shards": shards} for r in files]
+
+
+class _Words:
+    def __init__(self, files: list[dict]):
+        self.shards = files[0]["shards"] if files else 1
+        self.by = {}
+        for f in files:
+            raw = store_map(f["uri"])
+            n = f["n"]
+            self.by[f["shard"]] = (raw[: 8 * n].view("<u8"), raw[8 * n : 16 * n + 8].view("<u8"), raw[16 * n + 8 :].view("<u2"))
+
+    def ids(self, words: list[str]) -> dict[str, np.ndarray]:
+        by: dict[int, list[str]] = {}
+        for w in words:
+            by.setdefault(_shard(w.encode(), self.shards), []).append(w)
+        out = {}
+        for s, some in by.items():
+            keys, sizes, ids = self.by[s]
+            h = np.array([xxhash.xxh64_intdigest(w.encode()) for w in some], np.uint64)
+            at = np.searchsorted(keys, h)
+            if not (keys[at] == h).all():
+                raise KeyError("a word isn't in the dictionary")
+            for w, a, b in zip(some, sizes[at].tolist(), sizes[at + 1].tolist(), strict=True):
+                out[w] = ids[a:b]
+        return out
+
+
+_OPEN: dict[str, _Words] = {}
+
+
+def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", model: str = MODEL) -> DataFrame:
+    """(key, ids) of each row: the ids that the library gives. Null and empty texts have none; repeated rows stay; other columns are ignored."""
+    files = dictionary(docs, text, model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name = files[0]["uri"] if files else ""
+        if name not in _OPEN:
+            _OPEN.clear()
+            _OPEN[name] = _Words(files)
+        for batch in batches:
+            units = [_units(t or "") for t in batch.column(1).to_pylist()]
+            known = _OPEN[name].ids(list({u for x in units for u in x}))
+            rows = [np.concatenate([known[u] for u in x]) if x else np.zeros(0, "<u2") for x in units]
+            bounds = np.concatenate(([0], np.cumsum([len(r) for r in rows]))).astype(np.int32)
+            flat = np.concatenate(rows).astype(np.int32) if rows else np.zeros(0, np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat))], [key, "ids"])
+
+    return docs.select(key, text).mapInArrow(run, f"{key} {docs.schema[key].dataType.simpleString()}, ids array<int>")
+
+
+def decoded(ids: list[int], names: list[bytes]) -> bytes:
+    out = b"".join(names[i] for i in ids).replace(SPACE.encode(), b" ")
+    return out[1:] if out.startswith(b" ") else out
+
+
+@lru_cache(maxsize=2)
+def piece_bytes(model: str) -> list[bytes]:
+    sp = processor(model)
+    return [bytes([i - 3]) if sp.is_byte(i) else b"" if sp.is_control(i) or sp.is_unknown(i) else sp.id_to_piece(i).encode() for i in range(sp.vocab_size())]
+
+
+def decode(coded: DataFrame, key: str = "doc_id", model: str = MODEL) -> DataFrame:
+    """(key, text) of rows (key, ids); bytes that aren't UTF-8 become replacement characters, null ids null."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = piece_bytes(model)
+        for batch in batches:
+            texts = [None if x is None else decoded(x, names).decode("utf-8", "replace") for x in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], [key, "text"])
+
+    return coded.select(key, "ids").mapInArrow(run, f"{key} {coded.schema[key].dataType.simpleString()}, text string")
+
+
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids, and what decoding them gives, as digests."""
+    coded = encode(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = piece_bytes(MODEL)
+        for batch in batches:
+            lists = batch.column(1).to_pylist()
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([len(x) for x in lists], pa.int64()), pa.array([zlib.crc32(np.array(x, "<u4").tobytes()) for x in lists], pa.int64()), pa.array([hashlib.sha256(decoded(x, names)).hexdigest() for x in lists], pa.string())],
+                ["doc_id", "n_tokens", "ids_crc32", "decoded_sha256"],
+            )
+
+    return coded.mapInArrow(run, "doc_id long, n_tokens long, ids_crc32 long, decoded_sha256 string")
+
+
+QUERIES = {"op4_sentencepiece": op4_sentencepiece}
+ORACLE: dict[str, str] = {}
