@@ -6,8 +6,8 @@ lengths. Segments are hashed with their length class and number, lines probe tho
 that the multi-match rule leaves, and pairs that meet are verified by a banded bit-parallel edit distance: the band of
 2 t + 1 diagonals is one machine word, and each character of the shorter line is a step of a few bit operations.
 
-Equal lines are one row before any join, so a line of any frequency costs one row. Only hashes go through the joins;
-texts come back for pairs that met.
+Equal lines are one row before any join, so a line of any frequency costs one row. Only hashes go through the shuffles;
+texts come back from the input for pairs that met.
 """
 
 from __future__ import annotations
@@ -34,21 +34,33 @@ def _segments(n: Column, t: int) -> list[tuple[Column, Column]]:
 
 
 def index_keys(line: Column, t: int) -> Column:
-    n = F.length(line)
-    return F.array(*[F.xxhash64(n, F.lit(i), F.substring(line, a, s)) for i, (a, s) in enumerate(_segments(n, t))])
+    def keys(n: Column) -> Column:
+        return let(_bounds(n, t), lambda g: F.array(*[F.xxhash64(n, F.lit(i), F.substring(line, g[f"a{i}"], g[f"s{i}"])) for i in range(t + 1)]))
+
+    return let(F.length(line), keys)
+
+
+def _bounds(n: Column, t: int) -> Column:
+    """The segments' starts and lengths as a struct, so that they are reckoned once."""
+    return F.struct(*[c.alias(f"{k}{i}") for i, (a, s) in enumerate(_segments(n, t)) for k, c in (("a", a), ("s", s))])
 
 
 def probe_keys(line: Column, t: int) -> Column:
     """Keys of the substrings that could be a segment of a line no longer than this one and within t edits."""
-    m, out = F.length(line), []
-    for gap in range(t + 1):
-        n = m - gap
-        for i, (a, s) in enumerate(_segments(n, t)):
-            lo, hi = max(-i, gap - (t - i)), min(i, gap + (t - i))
-            for shift in range(lo, hi + 1):
-                at = a + shift
-                out.append(F.when((at >= 1) & (at + s - 1 <= m), F.xxhash64(n, F.lit(i), F.substring(line, at, s))))
-    return F.filter(F.array(*out), lambda x: x.isNotNull())
+
+    def of_gap(m: Column, gap: int) -> Column:
+        def keys(g: Column) -> Column:
+            out = []
+            for i in range(t + 1):
+                lo, hi = max(-i, gap - (t - i)), min(i, gap + (t - i))
+                for shift in range(lo, hi + 1):
+                    at, size = g[f"a{i}"] + shift, g[f"s{i}"]
+                    out.append(F.when((at >= 1) & (at + size - 1 <= m), F.xxhash64(m - gap, F.lit(i), F.substring(line, at, size))))
+            return F.array(*out)
+
+        return let(_bounds(m - gap, t), keys)
+
+    return let(F.length(line), lambda m: F.array_distinct(F.filter(F.concat(*[of_gap(m, gap) for gap in range(t + 1)]), lambda x: x.isNotNull())))
 
 
 def banded_distance(longer: Column, shorter: Column, t: int) -> Column:
@@ -98,15 +110,23 @@ def lines_of(docs: DataFrame, least: int) -> DataFrame:
     return d.select("doc_id", "text_hash", F.posexplode("l").alias("pos", "line")).filter(F.length("line") >= least).withColumn("h", F.xxhash64("line"))
 
 
-def later_lines(distinct: DataFrame, t: int = EDITS) -> DataFrame:
-    """(h) of the distinct lines (h, line, first) that lie within t edits of one whose first place is earlier."""
-    keys = distinct.select("h", index_keys(F.col("line"), t).alias("i"), probe_keys(F.col("line"), t).alias("p"))
-    index = keys.select(F.explode("i").alias("key"), F.col("h").alias("a"))
-    probe = keys.select(F.explode(F.array_distinct("p")).alias("key"), F.col("h").alias("b"))
+#: Lines of met pairs up to which their hashes are broadcast to fetch the texts; 8 bytes each.
+BROADCAST_HASHES = 500_000
+
+
+def later_lines(lines: DataFrame, distinct: DataFrame, t: int = EDITS) -> DataFrame:
+    """(h) of the distinct lines (h, first, i, p) that lie within t edits of one whose first place is earlier."""
+    index = distinct.select(F.explode("i").alias("key"), F.col("h").alias("a"))
+    probe = distinct.select(F.explode("p").alias("key"), F.col("h").alias("b"))
     met = index.join(probe, "key").filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     met = written(met, "line-pairs")
-    one = distinct.select(F.col("h").alias("a"), F.col("line").alias("x"), F.col("first").alias("fx"))
-    two = distinct.select(F.col("h").alias("b"), F.col("line").alias("y"), F.col("first").alias("fy"))
+    wanted = met.select(F.explode(F.array("a", "b")).alias("h")).distinct()
+    if 2 * met.count() <= BROADCAST_HASHES:
+        wanted = F.broadcast(wanted)
+    texts = lines.select("h", "line").join(wanted, "h", "left_semi").groupBy("h").agg(F.first("line").alias("line"))
+    texts = written(texts.join(distinct.select("h", "first"), "h"), "met-lines")
+    one = texts.select(F.col("h").alias("a"), F.col("line").alias("x"), F.col("first").alias("fx"))
+    two = texts.select(F.col("h").alias("b"), F.col("line").alias("y"), F.col("first").alias("fy"))
     both = met.join(one, "a").join(two, "b")
     swap = F.length("x") >= F.length("y")
     near = banded_distance(F.when(swap, F.col("x")).otherwise(F.col("y")), F.when(swap, F.col("y")).otherwise(F.col("x")), t) <= t
@@ -120,8 +140,9 @@ def removed_lines(docs: DataFrame, t: int = EDITS, least: int = MIN_CHARS) -> Da
     place is within t edits. Null doc_ids come before all others.
     """
     lines = lines_of(docs, least)
-    distinct = written(lines.groupBy("h").agg(F.first("line").alias("line"), F.min(F.struct("doc_id", "text_hash", "pos")).alias("first")), "lines")
-    later = later_lines(distinct, t).withColumn("late", F.lit(True))
+    keys = lines.withColumns({"i": index_keys(F.col("line"), t), "p": probe_keys(F.col("line"), t)})
+    distinct = written(keys.groupBy("h").agg(F.min(F.struct("doc_id", "text_hash", "pos")).alias("first"), F.first("i").alias("i"), F.first("p").alias("p")), "lines")
+    later = later_lines(lines, distinct, t).withColumn("late", F.lit(True))
     verdict = distinct.select("h", "first").join(later, "h", "left")
     placed = lines.select("doc_id", "text_hash", "pos", "h").join(verdict, "h")
     same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash")) & (F.col("pos") == F.col("first.pos"))
