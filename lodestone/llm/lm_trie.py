@@ -31,7 +31,7 @@ LEAST_COUNT = 2
 #: Steps of a quantised log10: 1 / QUANT.
 QUANT = 4096
 #: Characters of training text a shard.
-SHARD_CHARS = 32 << 20
+SHARD_CHARS = 16 << 20
 LEAST_SHARDS = 16
 END = int(mix64(np.array([0x5E4D], np.uint64))[0])
 BUFFER = 3_000_000
@@ -166,8 +166,13 @@ class Level:
         self.lent = (np.array([p for p, _ in meta.get("lent", [])], np.int64), np.array([x for _, x in meta.get("lent", [])], float))
 
     def _each(self, where: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        for s in np.unique(where):
-            yield int(s), np.flatnonzero(where == s)
+        if not len(where):
+            return
+        order = None if (where[1:] >= where[:-1]).all() else np.argsort(where.astype(np.int32), kind="stable")
+        ranked = where if order is None else where[order]
+        cuts = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1], [True])))
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            yield int(ranked[a]), np.arange(a, b) if order is None else order[a:b]
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         out = np.full(len(keys), -1, np.int64)
@@ -338,7 +343,7 @@ def _counted(model: dict, k: int, shards: int):
 
 
 def _built(model: dict, k: int, folder: str):
-    """Writes a level's shards from sorted rows; a line of figures for each."""
+    """Writes a level's shards, the few that hash to one task; a line of figures for each."""
 
     def finish(shard: int, keys: np.ndarray, counts: np.ndarray) -> dict | None:
         x, c = merge_counts([keys], [counts])
@@ -371,22 +376,20 @@ def _built(model: dict, k: int, folder: str):
         return line
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, keys, counts, lines = None, [], [], []
-
-        def close() -> None:
-            if now is not None and (line := finish(now, np.concatenate(keys), np.concatenate(counts))):
-                lines.append(json.dumps(line))
-
+        held: dict[int, tuple[list, list]] = {}
         for batch in batches:
             s, x, n = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-            for v in np.unique(s):
-                sel = s == v
-                if v != now:
-                    close()
-                    now, keys, counts = int(v), [], []
-                keys.append(x[sel].view(U))
-                counts.append(n[sel])
-        close()
+            order = np.argsort(s, kind="stable")
+            cuts = np.flatnonzero(np.concatenate(([True], s[order][1:] != s[order][:-1], [True]))) if len(s) else np.zeros(0, np.int64)
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                keys, counts = held.setdefault(int(s[order[a]]), ([], []))
+                keys.append(x[order[a:b]].view(U))
+                counts.append(n[order[a:b]].astype(np.int32))
+        lines = []
+        for shard in sorted(held):
+            keys, counts = held.pop(shard)
+            if line := finish(shard, np.concatenate(keys), np.concatenate(counts).astype(np.int64)):
+                lines.append(json.dumps(line))
         yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], ["line"])
 
     return run
@@ -409,7 +412,7 @@ def train(docs: DataFrame, order: int = ORDER) -> dict:
         if k and not model["levels"][k - 1]["shards"]:
             break
         at = model | {"name": f"{folder}#{k}"}
-        rows = texts.mapInArrow(_counted(at, k, shards), "shard int, key long, n long").repartition(shards, "shard").sortWithinPartitions("shard")
+        rows = texts.mapInArrow(_counted(at, k, shards), "shard int, key long, n long").repartition(shards, "shard")
         lines = sorted((json.loads(r["line"]) for r in rows.mapInArrow(_built(at, k, folder), "line string").collect()), key=lambda x: x["shard"])
         meta = {"shards": lines, "m": sum(s["n"] for s in (model["levels"][0]["shards"] if k else lines))}
         if k:
