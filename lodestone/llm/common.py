@@ -46,7 +46,7 @@ def written(df: DataFrame, what: str) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back: cuts lineage, and survives lost executors."""
     spark = df.sparkSession
     path = scratch(spark, what)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -18,6 +18,8 @@ def components(links: DataFrame) -> DataFrame:
     edges = written(
         links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a < b").distinct(), "links"
     )
+    # a step's tasks follow the number of links, not the session's number of partitions
+    parts = max(8, edges.count() // 250_000)
     if edges.isEmpty():
         return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
     before = None
@@ -25,11 +27,11 @@ def components(links: DataFrame) -> DataFrame:
         both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a"))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.filter("v > u").join(least, "u").select(F.col("m").alias("a"), F.col("v").alias("b")).filter("a < b").distinct()
-        large = written(large, "star")
+        large = written(large.coalesce(parts), "star")
         # small star: every node hands its smaller neighbours, and itself, to the smallest of them
         low = large.groupBy("b").agg(F.min("a").alias("m"))
         small = large.join(low, "b").select(F.col("m").alias("x"), F.col("a").alias("y")).union(low.select("m", "b"))
-        edges = written(small.filter("x < y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "star")
+        edges = written(small.filter("x < y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct().coalesce(parts), "star")
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
         if now == before:
             break

@@ -29,8 +29,11 @@ SHINGLE = 5
 PERCENT = 80
 SUBSET = 2
 SKETCH = 1 << 20
+OUTLINE = 128
+#: Nodes up to which their names are broadcast to fetch documents; 8 bytes each.
+BROADCAST_NODES = 500_000
 #: Rounds in which lists link their members to a pivot, before the pairs of different classes are enumerated.
-PIVOT_ROUNDS = 3
+PIVOT_ROUNDS = 2
 
 
 def shingle_sets(texts: pa.Array, k: int = SHINGLE) -> list[np.ndarray]:
@@ -62,6 +65,11 @@ def prefix_length(n: int, shared: int, percent: int = PERCENT) -> int:
     return min(n, n - -(-percent * n // 100) + shared)
 
 
+def outline(s: np.ndarray) -> bytes:
+    """How many of a set's shingles fall into each of OUTLINE cells; sums of minima bound what two sets share."""
+    return np.minimum(255, np.bincount((s >> np.uint64(40)).astype(np.int64) % OUTLINE, minlength=OUTLINE)).astype(np.uint8).tobytes()
+
+
 def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     both = len(np.intersect1d(a, b, assume_unique=True))
     return 100 * both >= percent * (len(a) + len(b) - both) and both > 0
@@ -133,9 +141,9 @@ def keyed(docs: DataFrame, cells: np.ndarray, bound: int, percent: int = PERCENT
             keys = [_signed(keys_of(s, order.value, bound, percent)) for s in sets]
             bounds = np.concatenate(([0], np.cumsum([len(k) for k in keys]))).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([node_of(s) for s in sets], pa.int64()), lists], ["doc_id", "n", "node", "keys"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([node_of(s) for s in sets], pa.int64()), pa.array([outline(s) for s in sets], pa.binary()), lists], ["doc_id", "n", "node", "outline", "keys"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n long, node long, keys array<long>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n long, node long, outline binary, keys array<long>")
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,9 +197,13 @@ def lists_of(rows: DataFrame, parts: int) -> DataFrame:
     return found.join(full, "list")
 
 
-def node_sets(docs: DataFrame, rows: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, set) of the nodes, from the text of one document each."""
-    some = rows.select("node", "doc_id").join(nodes, "node").groupBy("node").agg(F.min(F.coalesce("doc_id", F.lit(-(2**63)))).alias("d")).select("d").distinct()
+def node_sets(docs: DataFrame, rows: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(node, set) of the nodes in pairs, from the text of one document each."""
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    some = rows.select("node", F.coalesce("doc_id", F.lit(-(2**63))).alias("d")).join(nodes, "node").groupBy("node").agg(F.min("d").alias("d")).select("d").distinct()
+    some = written(some, "fetched")
+    if some.count() <= BROADCAST_NODES:
+        some = F.broadcast(some)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -202,6 +214,24 @@ def node_sets(docs: DataFrame, rows: DataFrame, nodes: DataFrame) -> DataFrame:
     return picked.mapInArrow(run, "node long, set binary").groupBy("node").agg(F.first("set").alias("set"))
 
 
+def possible(pairs: DataFrame, outlines: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Those of pairs (a, b) whose sizes and outlines allow a link; no link is lost."""
+    side = lambda k, x: outlines.select(F.col("node").alias(k), F.col("n").alias(f"n{k}"), F.col("outline").alias(x))
+    near = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").filter(f"100 * na >= {percent} * nb and 100 * nb >= {percent} * na").select("a", "b", "na", "nb", "x", "y")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            na, nb = (batch.column(i).to_numpy(zero_copy_only=False) for i in (2, 3))
+            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, OUTLINE) for i in (4, 5))
+            both = np.minimum(x, y).astype(np.int64).sum(axis=1)
+            m = pa.array((100 * both >= percent * (na + nb - both)) | (x == 255).any(axis=1) & (y == 255).any(axis=1))
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(m), batch.column(1).filter(m)], ["a", "b"])
+
+    return near.mapInArrow(run, "a long, b long")
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Those of pairs (a, b) that link, by their whole sets."""
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("set").alias("y")), "b").select("a", "b", "x", "y")
@@ -229,8 +259,8 @@ def classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     keys = rows.agg(F.sum(F.size("keys"))).first()[0] or 0
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), keys // 4_000_000)
     lists = written(lists_of(rows.filter("n > 0"), parts), "members")
-    sets = written(node_sets(docs, rows, lists.select("node").distinct()), "sets")
-    nodes = lists.select("node").distinct()
+    nodes = written(lists.select("node").distinct(), "nodes")
+    outlines = written(rows.select("node", "n", "outline").join(nodes, "node").groupBy("node").agg(F.first("n").alias("n"), F.first("outline").alias("outline")), "outlines")
     labels = nodes.select("node", F.col("node").alias("root"))
     links = tried = None
     for turn in range(PIVOT_ROUNDS + 1):
@@ -247,11 +277,13 @@ def classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         pairs = pairs.distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = written(pairs, "pairs")
+        pairs = written(possible(pairs, outlines, percent), "pairs")
         if not pairs.isEmpty():
-            new = written(verified(pairs, sets, percent), "links")
-            links = new if links is None else links.union(new)
+            new = written(verified(pairs, node_sets(docs, rows, pairs), percent), "links")
             tried = pairs if tried is None else tried.union(pairs)
+            if new.isEmpty():
+                continue
+            links = new if links is None else links.union(new)
             labels = written(nodes.join(components(links), "node", "left").select("node", F.coalesce("root", "node").alias("root")), "labels")
     least = rows.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
     named = least.join(labels, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "least")
