@@ -13,6 +13,7 @@ vocabulary become byte pieces.
 from __future__ import annotations
 
 import hashlib
+import heapq
 import re
 import zlib
 from collections.abc import Iterator
@@ -98,6 +99,41 @@ def word_pieces(words: DataFrame, pieces: DataFrame, longest: int, kind: str = "
     return got.select("shard", "word", "cuts", ids.alias("ids"))
 
 
+#: A fold over a word's edges takes time with the square of its length: longer words than this (no natural ones) are merged by a heap.
+LONG_WORD = 64
+
+
+def heap_ids(word: str, pieces: dict[str, tuple[int, float]]) -> list[int | None]:
+    """What the fold gives, in n log n: the best-scored pair of neighbours merges first, leftmost of ties; null for a character without a piece."""
+    n = len(word)
+    after, before, end = [*range(1, n + 1)], [*range(-1, n - 1)], [*range(1, n + 1)]
+    alive, heap = [True] * n, []
+
+    def offer(i: int) -> None:
+        j = after[i]
+        if j < n and (got := pieces.get(word[i : end[j]])):
+            heapq.heappush(heap, (-got[1], i, j, end[j]))
+
+    for i in range(n):
+        offer(i)
+    while heap:
+        _, i, j, e = heapq.heappop(heap)
+        if not (alive[i] and j < n and alive[j] and after[i] == j and end[j] == e):
+            continue
+        alive[j], end[i], after[i] = False, e, after[j]
+        if after[i] < n:
+            before[after[i]] = i
+        offer(i)
+        if before[i] >= 0:
+            offer(before[i])
+    out, i = [], 0
+    while i < n:
+        got = pieces.get(word[i : end[i]])
+        out.append(got[0] if got else None)
+        i = end[i]
+    return out
+
+
 def _units(text: str) -> list[str]:
     return WORD.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
@@ -146,8 +182,24 @@ def dictionary(docs: DataFrame, text: str = "text", model: str = MODEL) -> list[
             lines.append((s, uri, len(rows)))
         yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in lines], k) for i, k in enumerate((pa.int32(), pa.string(), pa.int64()))], ["shard", "uri", "n"])
 
+    def long_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sp = processor(model)
+        names = {sp.id_to_piece(i): (i, sp.get_score(i)) for i in range(sp.vocab_size()) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i))}
+        for batch in batches:
+            cuts, ids = [], []
+            for w in batch.column(1).to_pylist():
+                got = heap_ids(w, names)
+                at = [0]
+                for i in got:
+                    at.append(at[-1] + (1 if i is None else len(sp.id_to_piece(i))))
+                cuts.append(at)
+                ids.append(got)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(cuts, pa.list_(pa.int32())), pa.array(ids, pa.list_(pa.int32()))], ["shard", "word", "cuts", "ids"])
+
     words = docs.select(text).mapInArrow(distinct, "shard int, word string").repartition(shards, "shard").dropDuplicates(["shard", "word"])
-    coded = word_pieces(words, pieces, longest).mapInArrow(write, "shard int, uri string, n long")
+    folded = word_pieces(words.filter(F.length("word") <= LONG_WORD), pieces, longest)
+    others = words.filter(F.length("word") > LONG_WORD).mapInArrow(long_words, "shard int, word string, cuts array<int>, ids array<int>")
+    coded = folded.unionByName(others).mapInArrow(write, "shard int, uri string, n long")
     files = [r.asDict() for r in coded.collect()]
     return [{"shard": r["shard"], "uri": r["uri"], "n": r["n"], "shards": shards} for r in files]
 
@@ -159,7 +211,7 @@ class _Words:
         for f in files:
             raw = store_map(f["uri"])
             n = f["n"]
-            self.by[f["shard"]] = (raw[: 8 * n].view("<u8"), raw[8 * n : 16 * n + 8].view("<u8"), raw[16 * n + 8 :].view("<u2"))
+            self.by.setdefault(f["shard"], []).append((raw[: 8 * n].view("<u8"), raw[8 * n : 16 * n + 8].view("<u8"), raw[16 * n + 8 :].view("<u2")))
 
     def ids(self, words: list[str]) -> dict[str, np.ndarray]:
         by: dict[int, list[str]] = {}
@@ -167,13 +219,14 @@ class _Words:
             by.setdefault(_shard(w.encode(), self.shards), []).append(w)
         out = {}
         for s, some in by.items():
-            keys, sizes, ids = self.by[s]
-            h = np.array([xxhash.xxh64_intdigest(w.encode()) for w in some], np.uint64)
-            at = np.searchsorted(keys, h)
-            if not (keys[at] == h).all():
-                raise KeyError("a word isn't in the dictionary")
-            for w, a, b in zip(some, sizes[at].tolist(), sizes[at + 1].tolist(), strict=True):
-                out[w] = ids[a:b]
+            for keys, sizes, ids in self.by[s]:
+                h = np.array([xxhash.xxh64_intdigest(w.encode()) for w in some], np.uint64)
+                at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
+                there = keys[at] == h
+                for w, a, b in zip((w for w, x in zip(some, there, strict=True) if x), sizes[at[there]].tolist(), sizes[at[there] + 1].tolist(), strict=True):
+                    out[w] = ids[a:b]
+        if len(out) < len(words):
+            raise KeyError("a word isn't in the dictionary")
         return out
 
 
