@@ -84,6 +84,8 @@ def token_counts(urls: DataFrame, rules: list[Rule]) -> dict[str, int]:
     spark = urls.sparkSession
     small = spark.createDataFrame([(t,) for t in wanted], "token string")
     seen = urls.select(F.explode(F.array_distinct(F.regexp_extract_all(lower_ascii(F.col("url")), F.lit(f"({TOKEN})"), F.lit(1)))).alias("token"))
+    if len(wanted) <= CARRIED_RULES:
+        small = F.broadcast(small)
     return {r["token"]: r["n"] for r in seen.join(small, "token").groupBy("token").agg(F.count("*").alias("n")).collect()}
 
 

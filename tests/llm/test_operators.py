@@ -201,7 +201,7 @@ def test_media(spark, odd, none):
     assert mpeg_audio.to_media(none, "doc_id", "text").count() == 0
     data = bytearray(mpeg_audio.store_payload(b"a" * 2000))
     whole = mpeg_audio.probe(bytes(data))
-    assert whole["frames"] == 11 and whole["crc_bad"] == whole["damaged"] == 0 and whole["vbr"]["frames"] == 11 and whole["duration"] == 11 * 1152 / 48000
+    assert whole["frames"] == 11 and whole["crc_bad"] == whole["damaged"] == 0 and whole["vbr"]["frames"] == 11 and whole["duration"].numerator == 33 and whole["duration"].denominator == 125
     cut = bytes(data[:700]) + bytes(data[760:])
     assert mpeg_audio.probe(cut)["frames"] in (9, 10) and mpeg_audio.probe(cut)["damaged"] > 0 and mpeg_audio.probe(b"")["frames"] == 0
 
