@@ -8,15 +8,17 @@ from pyspark.sql import functions as F
 from lodestone.functions.text import clean_number, compact, digit_token, norm
 
 
-def validates(name: Column, candidate: Column) -> Column:
-    """Whether a candidate's name confirms an id: all base tokens lie in it, and half of the parenthesised ones.
+def validates(candidate: Column, listed: Column) -> Column:
+    """Whether a listing's text confirms a candidate's name: all tokens outside of parentheses lie in it, and half of those inside.
 
-    No tokens: confirmed; an empty candidate: not.
+    Tokens have three characters or more. A name without any is confirmed; an empty name is not.
     """
-    base = F.filter(F.split(norm(F.regexp_replace(name, r"[\(\[][^\)\]]*[\)\]]", " ")), " "), lambda x: x != "")
-    aside = F.filter(F.split(norm(F.array_join(F.regexp_extract_all(name, F.lit(r"[\(\[]([^\)\]]*)[\)\]]"), F.lit(1)), " ")), " "), lambda x: x != "")
-    hay = norm(candidate)
-    return (hay != "") & F.forall(base, lambda x: F.contains(hay, x)) & (F.size(F.filter(aside, lambda x: F.contains(hay, x))) * 2 >= F.size(aside))
+    longer = lambda c: F.filter(F.split(norm(c), " "), lambda x: F.length(x) >= 3)
+    base = longer(F.regexp_replace(candidate, r"\([^)]*\)", " "))
+    aside = longer(F.array_join(F.regexp_extract_all(candidate, F.lit(r"\(([^)]*)\)"), F.lit(1)), " "))
+    hay = norm(listed)
+    inside = lambda tokens: F.size(F.filter(tokens, lambda x: F.contains(hay, x)))
+    return F.coalesce((norm(candidate) != "") & (inside(base) == F.size(base)) & (inside(aside) * 2 >= F.size(aside)), F.lit(False))
 
 
 def numbered_match(rows: DataFrame, candidates: DataFrame) -> DataFrame:
@@ -50,7 +52,7 @@ def ladder(rows: DataFrame, stamped: DataFrame, candidates: DataFrame) -> DataFr
     match keep a null id.
     """
     c = candidates
-    by_id = rows.join(c.select(F.col("id").alias("cid"), "ext_id", F.col("name").alias("c_name")), "ext_id").filter(validates(F.col("name"), F.col("c_name"))).groupBy("row_id").agg(F.min("cid").alias("i1"))
+    by_id = rows.join(c.select(F.col("id").alias("cid"), "ext_id", F.col("name").alias("c_name")), "ext_id").filter(validates(F.col("c_name"), F.col("name"))).groupBy("row_id").agg(F.min("cid").alias("i1"))
     left = rows.join(stamped.select("row_id", F.col("id").alias("i0")), "row_id", "left").join(by_id, "row_id", "left")
     rest = left.filter("i0 is null and i1 is null").select("row_id", "name")
     fuzzy = numbered_match(rest, c).withColumnRenamed("id", "i2")

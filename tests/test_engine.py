@@ -70,7 +70,7 @@ def test_ladder(spark):
 
 def test_validation(spark):
     ok = lambda a, b: spark.range(1).select(matching.validates(F.lit(a), F.lit(b)).alias("x")).first()["x"]
-    assert ok("Gengar [Holo Rare]", "gengar holo") and not ok("Gengar", "Haunter") and not ok("x", "")
+    assert ok("Gengar (Holo Rare)", "Gengar holo #3") and not ok("Gengar", "Haunter") and not ok("", "Gengar") and ok("ex", "") and not ok("Gengar (Holo Rare Gold)", "Gengar gold")
 
 
 def test_guide(spark, tmp_path):
