@@ -6,12 +6,14 @@ lengths. Segments are hashed with their length class and number, lines probe tho
 that the multi-match rule leaves, and pairs that meet are verified by a banded bit-parallel edit distance: the band of
 2 t + 1 diagonals is one machine word, and each character of the shorter line is a step of a few bit operations.
 
-Equal lines are one row before any join, so a line of any frequency costs one row. Only hashes go through the shuffles;
-texts come back from the input for pairs that met.
+Equal lines are one row before any join, so a line of any frequency costs one row. Texts go through one shuffle, that of
+the distinct lines; after it only hashes do, until pairs that met are verified.
 """
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,45 +24,55 @@ EDITS = 2
 MIN_CHARS = 30
 
 
-def _segments(n: Column, t: int) -> list[tuple[Column, Column]]:
-    """(start, length), from 1, of the t + 1 even segments of a line of n characters; the longer ones come last."""
-    base, extra = F.floor(n / (t + 1)).cast("int"), (n % (t + 1)).cast("int")
-    out, start = [], F.lit(1)
-    for i in range(t + 1):
-        size = base + F.when(t + 1 - i <= extra, 1).otherwise(0)
-        out.append((start, size))
-        start = start + size
-    return out
+def _places(t: int, most_gap: int) -> list[tuple[int, int, int]]:
+    """(gap, i, shift): segment i of a line that is gap characters shorter can start shift characters further on in this one."""
+    return [(gap, i, shift) for gap in range(most_gap + 1) for i in range(t + 1) for shift in range(max(-i, gap - (t - i)), min(i, gap + (t - i)) + 1)]
+
+
+def _keys(lines: DataFrame, t: int, places: list[tuple[int, int, int]], name: str) -> DataFrame:
+    """(key, name): a row for each line (h, line) and place that lies inside the line.
+
+    A line of n characters has t + 1 even segments, the longer ones last. Places are exploded before anything is
+    reckoned, so a row takes a few integer operations, one substring and one hash, all in generated code.
+    """
+    rows = lines.select("h", "line", F.length("line").alias("m"), F.inline(F.array(*[F.struct(F.lit(g).alias("gap"), F.lit(i).alias("i"), F.lit(x).alias("shift")) for g, i, x in places])))
+    rows = rows.select("*", F.expr(f"cast((m - gap) div {t + 1} as int)").alias("base"), F.expr(f"{t + 1} - (m - gap) % {t + 1}").alias("even"))
+    rows = rows.select("h", "line", "m", "gap", "i", F.expr("1 + i * base + greatest(0, i - even) + shift").alias("at"), F.expr("base + if(i >= even, 1, 0)").alias("len"))
+    return rows.filter("at >= 1 and at + len - 1 <= m").select(F.expr("xxhash64(m - gap, i, substring(line, at, len))").alias("key"), F.col("h").alias(name))
+
 
+def index_keys(lines: DataFrame, t: int, name: str = "a") -> DataFrame:
+    """(key, name) of each line's own segments."""
+    return _keys(lines, t, [(0, i, 0) for i in range(t + 1)], name)
 
-def index_keys(line: Column, t: int) -> Column:
-    def keys(n: Column) -> Column:
-        return let(_bounds(n, t), lambda g: F.array(*[F.xxhash64(n, F.lit(i), F.substring(line, g[f"a{i}"], g[f"s{i}"])) for i in range(t + 1)]))
 
-    return let(F.length(line), keys)
+def probe_keys(lines: DataFrame, t: int, name: str = "b") -> DataFrame:
+    """(key, name) of the substrings that could be a segment of a line no longer than this one and within t edits."""
+    return _keys(lines, t, _places(t, t), name)
 
 
-def _bounds(n: Column, t: int) -> Column:
-    """The segments' starts and lengths as a struct, so that they are reckoned once."""
-    return F.struct(*[c.alias(f"{k}{i}") for i, (a, s) in enumerate(_segments(n, t)) for k, c in (("a", a), ("s", s))])
+def trimmed(pair: Column) -> Column:
+    """A struct (x, y) of texts without a common head and a common tail, to within a few characters; their edit distance is the same."""
 
+    def head(p: Column, k: int) -> Column:
+        same = (F.length(p["x"]) > k) & (F.length(p["y"]) > k) & (F.substring(p["x"], 1, k) == F.substring(p["y"], 1, k))
+        cut = lambda c: F.substring(c, F.lit(k + 1), F.length(c))
+        return F.when(same, F.struct(cut(p["x"]).alias("x"), cut(p["y"]).alias("y"))).otherwise(p)
 
-def probe_keys(line: Column, t: int) -> Column:
-    """Keys of the substrings that could be a segment of a line no longer than this one and within t edits."""
+    def tail(p: Column, k: int) -> Column:
+        same = (F.length(p["x"]) > k) & (F.length(p["y"]) > k) & (F.right(p["x"], F.lit(k)) == F.right(p["y"], F.lit(k)))
+        cut = lambda c: F.substring(c, F.lit(1), F.length(c) - k)
+        return F.when(same, F.struct(cut(p["x"]).alias("x"), cut(p["y"]).alias("y"))).otherwise(p)
 
-    def of_gap(m: Column, gap: int) -> Column:
-        def keys(g: Column) -> Column:
-            out = []
-            for i in range(t + 1):
-                lo, hi = max(-i, gap - (t - i)), min(i, gap + (t - i))
-                for shift in range(lo, hi + 1):
-                    at, size = g[f"a{i}"] + shift, g[f"s{i}"]
-                    out.append(F.when((at >= 1) & (at + size - 1 <= m), F.xxhash64(m - gap, F.lit(i), F.substring(line, at, size))))
-            return F.array(*out)
+    sizes = (4096, 1024, 256, 128, 64, 32, 16, 8)
+    for cut_off in [partial(step, k=k) for step in (head, tail) for k in sizes]:
+        pair = let(pair, _of_one(cut_off))
+    return pair
 
-        return let(_bounds(m - gap, t), keys)
 
-    return let(F.length(line), lambda m: F.array_distinct(F.filter(F.concat(*[of_gap(m, gap) for gap in range(t + 1)]), lambda x: x.isNotNull())))
+def _of_one(f):
+    """f as a function of one argument, as Spark's lambdas take it."""
+    return lambda p: f(p)
 
 
 def banded_distance(longer: Column, shorter: Column, t: int) -> Column:
@@ -95,9 +107,16 @@ def banded_distance(longer: Column, shorter: Column, t: int) -> Column:
             return let(both, words_)
 
         start = F.struct(F.lit(mask & ~((1 << t) - 1)).alias("vp"), F.lit((1 << t) - 1).alias("vn"), gap.alias("d"))
-        return F.when(gap > t, F.lit(t + 1)).when(F.size(b) == 0, gap).otherwise(F.aggregate(F.sequence(F.lit(1), F.size(b)), start, step, lambda s: s["d"]))
+        # the value never falls along a diagonal: above t, the rest of the steps have nothing to add
+        walk = F.aggregate(F.sequence(F.lit(1), F.size(b)), start, lambda s, j: F.when(s["d"] > t, s).otherwise(step(s, j)), lambda s: s["d"])
+        return F.when(gap > t, F.lit(t + 1)).when(F.size(b) == 0, gap).otherwise(walk)
 
-    return let(F.struct(_chars(longer).alias("a"), _chars(shorter).alias("b")), steps)
+    short = trimmed(F.struct(longer.alias("x"), shorter.alias("y")))
+    return let(short, lambda p: let(F.struct(_chars(p["x"]).alias("a"), _chars(p["y"]).alias("b")), steps))
+
+
+#: Lines of met pairs up to which their hashes are broadcast to pick the texts; 8 bytes each.
+BROADCAST_HASHES = 500_000
 
 
 def _chars(c: Column) -> Column:
@@ -110,27 +129,24 @@ def lines_of(docs: DataFrame, least: int) -> DataFrame:
     return d.select("doc_id", "text_hash", F.posexplode("l").alias("pos", "line")).filter(F.length("line") >= least).withColumn("h", F.xxhash64("line"))
 
 
-#: Lines of met pairs up to which their hashes are broadcast to fetch the texts; 8 bytes each.
-BROADCAST_HASHES = 500_000
-
-
-def later_lines(lines: DataFrame, distinct: DataFrame, t: int = EDITS) -> DataFrame:
-    """(h) of the distinct lines (h, first, i, p) that lie within t edits of one whose first place is earlier."""
-    index = distinct.select(F.explode("i").alias("key"), F.col("h").alias("a"))
-    probe = distinct.select(F.explode("p").alias("key"), F.col("h").alias("b"))
-    met = index.join(probe, "key").filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+def later_lines(distinct: DataFrame, t: int = EDITS) -> DataFrame:
+    """(h) of the distinct lines (h, line, first) that lie within t edits of one whose first place is earlier."""
+    met = index_keys(distinct, t).join(probe_keys(distinct, t), "key").filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     met = written(met, "line-pairs")
+    one = distinct.select(F.col("h").alias("a"), F.col("line").alias("x"), F.col("first").alias("fx"))
+    two = distinct.select(F.col("h").alias("b"), F.col("line").alias("y"), F.col("first").alias("fy"))
+    # only lines that met leave their place with their text
     wanted = met.select(F.explode(F.array("a", "b")).alias("h")).distinct()
     if 2 * met.count() <= BROADCAST_HASHES:
         wanted = F.broadcast(wanted)
-    texts = lines.select("h", "line").join(wanted, "h", "left_semi").groupBy("h").agg(F.first("line").alias("line"))
-    texts = written(texts.join(distinct.select("h", "first"), "h"), "met-lines")
-    one = texts.select(F.col("h").alias("a"), F.col("line").alias("x"), F.col("first").alias("fx"))
-    two = texts.select(F.col("h").alias("b"), F.col("line").alias("y"), F.col("first").alias("fy"))
+        one = one.join(wanted, F.col("a") == F.col("h"), "left_semi")
+        two = two.join(wanted, F.col("b") == F.col("h"), "left_semi")
     both = met.join(one, "a").join(two, "b")
     swap = F.length("x") >= F.length("y")
     near = banded_distance(F.when(swap, F.col("x")).otherwise(F.col("y")), F.when(swap, F.col("y")).otherwise(F.col("x")), t) <= t
-    return both.filter(near).select(F.when(F.col("fx") < F.col("fy"), F.col("b")).otherwise(F.col("a")).alias("h")).distinct()
+    # dealt anew, so that the pairs of a few lines are not verified in a few tasks
+    dealt = both.select("a", "b", "x", "y", (F.col("fx") < F.col("fy")).alias("in_order")).repartition("a", "b")
+    return dealt.filter(near).select(F.when(F.col("in_order"), F.col("b")).otherwise(F.col("a")).alias("h")).distinct()
 
 
 def removed_lines(docs: DataFrame, t: int = EDITS, least: int = MIN_CHARS) -> DataFrame:
@@ -140,9 +156,8 @@ def removed_lines(docs: DataFrame, t: int = EDITS, least: int = MIN_CHARS) -> Da
     place is within t edits. Null doc_ids come before all others.
     """
     lines = lines_of(docs, least)
-    keys = lines.withColumns({"i": index_keys(F.col("line"), t), "p": probe_keys(F.col("line"), t)})
-    distinct = written(keys.groupBy("h").agg(F.min(F.struct("doc_id", "text_hash", "pos")).alias("first"), F.first("i").alias("i"), F.first("p").alias("p")), "lines")
-    later = later_lines(lines, distinct, t).withColumn("late", F.lit(True))
+    distinct = written(lines.groupBy("h").agg(F.min(F.struct("doc_id", "text_hash", "pos")).alias("first"), F.first("line").alias("line")), "lines")
+    later = later_lines(distinct, t).withColumn("late", F.lit(True))
     verdict = distinct.select("h", "first").join(later, "h", "left")
     placed = lines.select("doc_id", "text_hash", "pos", "h").join(verdict, "h")
     same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash")) & (F.col("pos") == F.col("first.pos"))
