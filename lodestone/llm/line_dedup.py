@@ -3,8 +3,10 @@
 Native DataFrame functions only. Distinct lines are joined by the segment-partition method: of two lines within t edits,
 one of the t + 1 even segments of the shorter occurs in the longer unchanged, at one of few places that depend on both
 lengths. Segments are hashed with their length class and number, lines probe those of lengths m - t to m at the places
-that the multi-match rule leaves, and pairs that meet are verified by a banded bit-parallel edit distance: the band of
-2 t + 1 diagonals is one machine word, and each character of the shorter line is a step of a few bit operations.
+that the multi-match rule leaves. Keys carry the line's counts of 16 letters; where the counts of two lines that meet differ by more than t edits
+can make them, the join lets the pair go, so that long lines that share a segment but not their words stay apart. Pairs
+that are left are verified by a banded bit-parallel edit distance: the band of 2 t + 1 diagonals is one machine word, and
+each character of the shorter line is a step of a few bit operations.
 
 Equal lines are one row before any join, so a line of any frequency costs one row. Texts go through one shuffle, that of
 the distinct lines; after it only hashes do, until pairs that met are verified.
@@ -24,30 +26,57 @@ EDITS = 2
 MIN_CHARS = 30
 
 
+#: Letters whose counts bound the edit distance; any others are as right, frequent ones part more lines.
+COUNTED = "etaoinsrhlducmpg"
+
+
+def letter_counts(line: Column) -> Column:
+    """A bigint of 16 counts modulo 16, four bits each: how often the line has each letter of COUNTED.
+
+    Letters are taken out one after the other, so that each step reads what the frequent ones before it have left.
+    """
+    out = F.lit(0).cast("long")
+    for k, x in enumerate(COUNTED):
+        rest = F.replace(line, F.lit(x))
+        count = (F.octet_length(line) - F.octet_length(rest)).cast("long").bitwiseAND(F.lit(15))
+        out, line = out.bitwiseOR(F.shiftleft(count, 4 * k)), rest
+    return out
+
+
+def within_counts(a: Column, b: Column, t: int) -> Column:
+    """Whether t edits can lead from letter counts a to b: an edit takes one letter, adds one, or both, so counts change by 2 t at most."""
+    total = F.lit(0).cast("long")
+    for k in range(len(COUNTED)):
+        one, two = (F.shiftrightunsigned(x, 4 * k).bitwiseAND(F.lit(15)) for x in (a, b))
+        gap = F.abs(one - two)
+        total = total + F.least(gap, 16 - gap)
+    return total <= 2 * t
+
+
 def _places(t: int, most_gap: int) -> list[tuple[int, int, int]]:
     """(gap, i, shift): segment i of a line that is gap characters shorter can start shift characters further on in this one."""
     return [(gap, i, shift) for gap in range(most_gap + 1) for i in range(t + 1) for shift in range(max(-i, gap - (t - i)), min(i, gap + (t - i)) + 1)]
 
 
 def _keys(lines: DataFrame, t: int, places: list[tuple[int, int, int]], name: str) -> DataFrame:
-    """(key, name): a row for each line (h, line) and place that lies inside the line.
+    """(key, name, name + "_counts"): a row for each line (h, line, counts) and place that lies inside the line.
 
     A line of n characters has t + 1 even segments, the longer ones last. Places are exploded before anything is
     reckoned, so a row takes a few integer operations, one substring and one hash, all in generated code.
     """
-    rows = lines.select("h", "line", F.length("line").alias("m"), F.inline(F.array(*[F.struct(F.lit(g).alias("gap"), F.lit(i).alias("i"), F.lit(x).alias("shift")) for g, i, x in places])))
+    rows = lines.select("h", "line", "counts", F.length("line").alias("m"), F.inline(F.array(*[F.struct(F.lit(g).alias("gap"), F.lit(i).alias("i"), F.lit(x).alias("shift")) for g, i, x in places])))
     rows = rows.select("*", F.expr(f"cast((m - gap) div {t + 1} as int)").alias("base"), F.expr(f"{t + 1} - (m - gap) % {t + 1}").alias("even"))
-    rows = rows.select("h", "line", "m", "gap", "i", F.expr("1 + i * base + greatest(0, i - even) + shift").alias("at"), F.expr("base + if(i >= even, 1, 0)").alias("len"))
-    return rows.filter("at >= 1 and at + len - 1 <= m").select(F.expr("xxhash64(m - gap, i, substring(line, at, len))").alias("key"), F.col("h").alias(name))
+    rows = rows.select("h", "line", "counts", "m", "gap", "i", F.expr("1 + i * base + greatest(0, i - even) + shift").alias("at"), F.expr("base + if(i >= even, 1, 0)").alias("len"))
+    return rows.filter("at >= 1 and at + len - 1 <= m").select(F.expr("xxhash64(m - gap, i, substring(line, at, len))").alias("key"), F.col("h").alias(name), F.col("counts").alias(f"{name}_counts"))
 
 
 def index_keys(lines: DataFrame, t: int, name: str = "a") -> DataFrame:
-    """(key, name) of each line's own segments."""
+    """(key, name, counts) of each line's own segments."""
     return _keys(lines, t, [(0, i, 0) for i in range(t + 1)], name)
 
 
 def probe_keys(lines: DataFrame, t: int, name: str = "b") -> DataFrame:
-    """(key, name) of the substrings that could be a segment of a line no longer than this one and within t edits."""
+    """(key, name, counts) of the substrings that could be a segment of a line no longer than this one and within t edits."""
     return _keys(lines, t, _places(t, t), name)
 
 
@@ -130,8 +159,8 @@ def lines_of(docs: DataFrame, least: int) -> DataFrame:
 
 
 def later_lines(distinct: DataFrame, t: int = EDITS) -> DataFrame:
-    """(h) of the distinct lines (h, line, first) that lie within t edits of one whose first place is earlier."""
-    met = index_keys(distinct, t).join(probe_keys(distinct, t), "key").filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    """(h) of the distinct lines (h, line, first, counts) that lie within t edits of one whose first place is earlier."""
+    met = index_keys(distinct, t).join(probe_keys(distinct, t), "key").filter(F.col("a") != F.col("b")).filter(within_counts(F.col("a_counts"), F.col("b_counts"), t)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     met = written(met, "line-pairs")
     one = distinct.select(F.col("h").alias("a"), F.col("line").alias("x"), F.col("first").alias("fx"))
     two = distinct.select(F.col("h").alias("b"), F.col("line").alias("y"), F.col("first").alias("fy"))
@@ -156,7 +185,7 @@ def removed_lines(docs: DataFrame, t: int = EDITS, least: int = MIN_CHARS) -> Da
     place is within t edits. Null doc_ids come before all others.
     """
     lines = lines_of(docs, least)
-    distinct = written(lines.groupBy("h").agg(F.min(F.struct("doc_id", "text_hash", "pos")).alias("first"), F.first("line").alias("line")), "lines")
+    distinct = written(lines.groupBy("h").agg(F.min(F.struct("doc_id", "text_hash", "pos")).alias("first"), F.first("line").alias("line")).withColumn("counts", letter_counts(F.col("line"))), "lines")
     later = later_lines(distinct, t).withColumn("late", F.lit(True))
     verdict = distinct.select("h", "first").join(later, "h", "left")
     placed = lines.select("doc_id", "text_hash", "pos", "h").join(verdict, "h")

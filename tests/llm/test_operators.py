@@ -228,3 +228,21 @@ def test_neighbours_come_first():
     index = packing.Bm25(*hash_words(pa.array(texts)))
     assert index.scores(0).argsort()[::-1][1] == 2 or index.scores(0)[2] > 0 and index.scores(0)[1] == 0
     assert re  # keeps the import for patterns above
+
+
+def test_letter_counts_never_part_near_lines(spark):
+    rng = random.Random(7)
+    rows = []
+    for _ in range(400):
+        a = "".join(rng.choice("eeaatt oinsrhldüx") for _ in range(rng.randrange(0, 90)))
+        b = list(a)
+        for _ in range(rng.randrange(3)):
+            at = rng.randrange(len(b) + 1)
+            b[at : at + rng.randrange(2)] = rng.choice(["", "e", "t", "q", "ü"])
+        rows.append((a, "".join(b)))
+    rows += [("e" * 33, "e" * 31), ("", ""), ("ee", "")]
+    counts = line_dedup.letter_counts
+    df = spark.createDataFrame(rows, "a string, b string").select(line_dedup.within_counts(counts(F.col("a")), counts(F.col("b")), 2).alias("w"))
+    assert all(r.w for r in df.collect())
+    far = spark.createDataFrame([("aaaa eeee", "tttt oooo")], "a string, b string").select(line_dedup.within_counts(counts(F.col("a")), counts(F.col("b")), 2).alias("w"))
+    assert not far.first().w
