@@ -8,7 +8,8 @@ Shingles are ordered by a count sketch of fixed size, frequent ones last, which
 
 Equal sets count as one node. The rows (key, node) are range-partitioned and sorted, so a key of any weight may span
 partitions; scanning a run of equal keys is streaming. In a list, a pivot stands for its members: links to it join most
-of a large class, and then only pairs of members from different classes are left, all of which are verified.
+of a large class, and then only pairs of members from different classes are left. The join on lists lets those go whose
+sizes and counts by cell rule a link out (may_link); all others are verified.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.llm.common import hash_words, mix64, small_batches, table, written
@@ -70,6 +71,28 @@ def outline(s: np.ndarray) -> bytes:
     return np.minimum(255, np.bincount((s >> np.uint64(40)).astype(np.int64) % OUTLINE, minlength=OUTLINE)).astype(np.uint8).tobytes()
 
 
+def bits_of(outlines: np.ndarray) -> np.ndarray:
+    """Four int64 a row of outlines (rows x OUTLINE): the low bits of the counts, then the next bits."""
+    planes = np.packbits(np.stack((outlines & 1, outlines >> 1 & 1), axis=1), axis=2, bitorder="little")
+    return np.ascontiguousarray(planes).view(np.int64).reshape(len(outlines), OUTLINE // 32)
+
+
+def may_link(percent: int = PERCENT) -> Column:
+    """Whether sizes na, nb and bits a0-a3, b0-b3 allow a link; no link is lost.
+
+    Sets that link differ in at most (100 - percent) / (100 + percent) of their added sizes. Cells' counts modulo 4
+    differ, around the circle, by no more than the sets do: by 1 where low bits differ, by 2 where only the next do.
+    Bits are null where a count is cut at 255, and then allow all.
+    """
+    apart = F.lit(0)
+    for low, high in (("0", "2"), ("1", "3")):
+        odd = F.col(f"a{low}").bitwiseXOR(F.col(f"b{low}"))
+        apart = apart + F.bit_count(odd) + 2 * F.bit_count(F.col(f"a{high}").bitwiseXOR(F.col(f"b{high}")).bitwiseAND(F.bitwise_not(odd)))
+    near = (100 + percent) * apart <= (100 - percent) * (F.col("na") + F.col("nb"))
+    sized = (100 * F.col("na") >= percent * F.col("nb")) & (100 * F.col("nb") >= percent * F.col("na"))
+    return sized & F.coalesce(near, F.lit(True))
+
+
 def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     both = len(np.intersect1d(a, b, assume_unique=True))
     return 100 * both >= percent * (len(a) + len(b) - both) and both > 0
@@ -214,6 +237,18 @@ def node_sets(docs: DataFrame, rows: DataFrame, pairs: DataFrame) -> DataFrame:
     return picked.mapInArrow(run, "node long, set binary").groupBy("node").agg(F.first("set").alias("set"))
 
 
+def outlined_bits(outlines: DataFrame) -> DataFrame:
+    """(node, n, bits0 to bits3) of (node, n, outline)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cells = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint8).reshape(-1, OUTLINE)
+            cut, bits = (cells == 255).any(axis=1), bits_of(cells)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array(bits[:, i], mask=cut) for i in range(4)]], ["node", "n", "bits0", "bits1", "bits2", "bits3"])
+
+    return outlines.select("node", "n", "outline").mapInArrow(run, "node long, n long, bits0 long, bits1 long, bits2 long, bits3 long")
+
+
 def possible(pairs: DataFrame, outlines: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Those of pairs (a, b) whose sizes and outlines allow a link; no link is lost."""
     side = lambda k, x: outlines.select(F.col("node").alias(k), F.col("n").alias(f"n{k}"), F.col("outline").alias(x))
@@ -272,8 +307,9 @@ def classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
             # lists whose members are all in one class have nothing left
             open_ = named.groupBy("list").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("list")
             left = named.join(open_, "list")
-            one, two = left.select("list", F.col("node").alias("a"), F.col("root").alias("r")), left.select("list", F.col("node").alias("b"), F.col("root").alias("q"))
-            pairs = one.join(two, "list").filter("a < b and r <> q").select("a", "b")
+            left = left.join(outlined_bits(outlines), "node")
+            side = lambda k, r: left.select("list", F.col("node").alias(k), F.col("root").alias(r), F.col("n").alias(f"n{k}"), *[F.col(f"bits{i}").alias(f"{k}{i}") for i in range(4)])
+            pairs = side("a", "r").join(side("b", "q"), "list").filter("a < b and r <> q").filter(may_link(percent)).select("a", "b")
         pairs = pairs.distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
