@@ -35,6 +35,8 @@ OUTLINE = 128
 BROADCAST_NODES = 500_000
 #: Rounds in which lists link their members to a pivot, before the pairs of different classes are enumerated.
 PIVOT_ROUNDS = 2
+#: Rows of one key that a task holds at most before they leave in pieces.
+RUN_ROWS = 65536
 
 
 def shingle_sets(texts: pa.Array, k: int = SHINGLE) -> list[np.ndarray]:
@@ -169,13 +171,13 @@ def keyed(docs: DataFrame, cells: np.ndarray, bound: int, percent: int = PERCENT
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n long, node long, outline binary, keys array<long>")
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _runs(batches: Iterator[pa.RecordBatch], most: int = RUN_ROWS) -> Iterator[pa.RecordBatch]:
     """Of sorted (key, node) rows, those of keys with two nodes or more; lists of the same members come once.
 
     A complete run is named by a sum over its members, so that equal lists coincide. The runs at a partition's ends may
-    go on elsewhere, and keep their key.
+    go on elsewhere, and keep their key; so do all pieces of a run of over `most` rows.
     """
-    held_k, held_n, start = np.zeros(0, np.int64), np.zeros(0, np.int64), True
+    held_k, held_n, raw = np.zeros(0, np.int64), np.zeros(0, np.int64), True  # raw: the open run leaves under its key
 
     def batch_of(k: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(k), pa.array(n)], ["list", "node"])
@@ -193,13 +195,13 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         heads = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
         last = heads[-1]
-        if start and last > 0:  # the first run of the partition
+        if raw and last > 0:  # the partition's first run, or the rest of one that left in pieces
             yield batch_of(k[: heads[1]], n[: heads[1]])
-            k, n, last, start = k[heads[1] :], n[heads[1] :], last - heads[1], False
+            k, n, last, raw = k[heads[1] :], n[heads[1] :], last - heads[1], False
             heads = heads[1:] - heads[1]
-        if start or last == 0 and len(k) > 65536:  # one long run: it leaves in pieces under its key
+        if raw or last == 0 and len(k) > most:  # one long run: it leaves in pieces under its key
             yield batch_of(k[:-1], n[:-1])
-            held_k, held_n = k[-1:], n[-1:]
+            held_k, held_n, raw = k[-1:], n[-1:], True
             continue
         size = np.diff(np.append(heads[:-1], last))
         name = np.add.reduceat(mix64(n[:last].view(np.uint64)), heads[:-1]) if last else np.zeros(0, np.uint64)

@@ -261,3 +261,20 @@ def test_bits_never_part_linked_sets(spark):
     found = spark.createDataFrame(rows, names).select("link", ngram_join.may_link().alias("may")).collect()
     assert all(r.may for r in found if r.link) and sum(r.link for r in found) > 50
     assert any(not r.may for r in found)
+
+
+def test_long_runs_stay_whole():
+    rng = random.Random(11)
+    for _ in range(200):
+        lists = {k: sorted(rng.sample(range(100), rng.choice([1, 2, 3, 9, 40]))) for k in range(rng.randrange(1, 7))}
+        rows = [(k, n) for k, ns in lists.items() for n in ns for _ in range(rng.choice([1, 1, 2]))]
+        batches, at = [], 0
+        while at < len(rows):
+            size = rng.randrange(1, 9)
+            batches.append(pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows[at : at + size])], ["key", "node"]))
+            at += size
+        got = {}
+        for b in ngram_join._runs(iter(batches), most=4):
+            for k, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                got.setdefault(k, set()).add(n)
+        assert sorted({tuple(sorted(v)) for v in got.values() if len(v) > 1}) == sorted({tuple(v) for v in lists.values() if len(v) > 1})
