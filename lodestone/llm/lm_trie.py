@@ -9,8 +9,8 @@ parent its quantised back-off weight.
 
 The model is a set of shard files in the shared folder, cut from the sorted level at equal shares of the text, so that a
 word with a third of all successors spans shards. Tasks map the files; no model goes through the driver, which keeps a
-line per shard. Smoothing is interpolated absolute discounting down to add-one word probabilities; n-grams of two or more
-words seen once are pruned.
+line per shard. Smoothing is interpolated absolute discounting down to add-one word probabilities; every n-gram of the
+text is stored.
 """
 
 from __future__ import annotations
@@ -27,7 +27,8 @@ from lodestone.llm.common import hash_words, merge_counts, mix64, scratch, small
 
 ORDER = 3
 DISCOUNT = 0.75
-LEAST_COUNT = 2
+#: n-grams of two or more words seen less often are pruned; 1: none.
+LEAST_COUNT = 1
 #: Steps of a quantised log10: 1 / QUANT.
 QUANT = 4096
 #: Characters of training text a shard.
@@ -342,13 +343,13 @@ def _counted(model: dict, k: int, shards: int):
     return run
 
 
-def _built(model: dict, k: int, folder: str):
+def _built(model: dict, k: int, folder: str, least: int):
     """Writes a level's shards, the few that hash to one task; a line of figures for each."""
 
     def finish(shard: int, keys: np.ndarray, counts: np.ndarray) -> dict | None:
         x, c = merge_counts([keys], [counts])
-        if k:
-            keep = c >= LEAST_COUNT
+        if k and least > 1:
+            keep = c >= least
             x, c = x[keep], c[keep]
         if not len(x):
             return None
@@ -395,11 +396,11 @@ def _built(model: dict, k: int, folder: str):
     return run
 
 
-def train(docs: DataFrame, order: int = ORDER) -> dict:
+def train(docs: DataFrame, order: int = ORDER, least: int = LEAST_COUNT) -> dict:
     """A model of docs (text, ...): a description whose size is a line per shard, the levels being files in the shared folder.
 
     Null texts are empty and count an end. An empty table makes a model without words. Each level is one counting pass,
-    one shuffle of counts that tasks have summed, and one task per shard that writes its file.
+    one shuffle of counts that tasks have summed, and one task per shard that writes its file. least: see LEAST_COUNT.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -413,7 +414,7 @@ def train(docs: DataFrame, order: int = ORDER) -> dict:
             break
         at = model | {"name": f"{folder}#{k}"}
         rows = texts.mapInArrow(_counted(at, k, shards), "shard int, key long, n long").repartition(shards, "shard")
-        lines = sorted((json.loads(r["line"]) for r in rows.mapInArrow(_built(at, k, folder), "line string").collect()), key=lambda x: x["shard"])
+        lines = sorted((json.loads(r["line"]) for r in rows.mapInArrow(_built(at, k, folder, least), "line string").collect()), key=lambda x: x["shard"])
         meta = {"shards": lines, "m": sum(s["n"] for s in (model["levels"][0]["shards"] if k else lines))}
         if k:
             if sum(s["n"] for s in lines) and sum(s["n"] for s in model["levels"][k - 1]["shards"]) * meta["m"] >= 1 << 63:
