@@ -27,6 +27,8 @@ CLASSES = (20, 28, 40, 64)
 #: Probability that two letters of natural words agree (European languages: 0.065 to 0.08).
 TEXT_MATCH = 0.066
 NUMBER_EXCESS = 1.5
+#: Most capitals, as a share of letters, that words joined as camelCase have.
+MOST_CAPITALS = 0.25
 #: Logarithmic bins of p-values, ten a decade.
 BINS = 400
 
@@ -59,15 +61,17 @@ def _normal_tail(z: Column) -> Column:
 
 
 def battery(token: Column) -> Column:
-    """p-value of a token under "this is text" from the three tests; 1 for one-character alphabets and plain words or numbers.
+    """p-value of a token under "this is text" from the three tests; 1 for tokens of one character over and over.
 
     Text is modelled by what letters in words lose against uniform ones: over the encoding's alphabet of k characters a
     token of n has chi-squared about k - 1 + n * c. Two letters of words agree with probability TEXT_MATCH, so c is
-    k * TEXT_MATCH - 1 in text; numbers get NUMBER_EXCESS. (chi-squared - (k - 1) - n * c) / sd is then about normal in
+    k * TEXT_MATCH - 1 in text; encodings with digits get NUMBER_EXCESS at least. Letters alone have alphabets of 26
+    or 52. In camelCase a share u of the letters is of the other case, and two letters agree (1 - u)^2 + u^2 times as often;
+    tokens without digits are held against that, with u as found and MOST_CAPITALS at most. (chi-squared - (k - 1) - n * c) / sd is then about normal in
     text and far below for random strings. Runs of one character class (as camelCase words have) and serial
     correlation must look random too: their deviates, where beyond 3, forbid the finding.
     """
-    kind = F.when(token.rlike(r"^[0-9]+$"), 10).when(token.rlike(r"^(?:[0-9a-f]+|[0-9A-F]+)$"), 16).when(token.rlike(r"^[A-Z2-7]+=*$"), 32).when(token.rlike(r"^(?:[a-z0-9]+|[A-Z0-9]+)$"), 36).otherwise(64)
+    kind = F.when(token.rlike(r"^[0-9]+$"), 10).when(token.rlike(r"^(?:[a-z]+|[A-Z]+)=*$"), 26).when(token.rlike(r"^[A-Za-z]+=*$"), 52).when(token.rlike(r"^(?:[0-9a-f]+|[0-9A-F]+)$"), 16).when(token.rlike(r"^[A-Z2-7]+=*$"), 32).when(token.rlike(r"^(?:[a-z0-9]+|[A-Z0-9]+)$"), 36).otherwise(64)
 
     def body(both: Column) -> Column:
         chars, k = both["c"], both["k"].cast("double")
@@ -86,14 +90,16 @@ def battery(token: Column) -> Column:
             want = 2 * high * (n - high) / n + 1
             sd = F.sqrt(F.greatest((want - 1) * (want - 2) / F.greatest(n - 1, F.lit(1.0)), F.lit(1e-9)))
             runs = (turns - want) / sd
-            c = F.greatest(k * TEXT_MATCH - 1, F.lit(NUMBER_EXCESS))
+            capitals = F.size(F.filter(chars, lambda d: d.between("A", "Z"))) / n
+            u = F.least(capitals, 1 - capitals, F.lit(MOST_CAPITALS))
+            no_digit = ~F.exists(chars, lambda d: d.between("0", "9"))
+            c = F.when(no_digit, k * TEXT_MATCH * ((1 - u) * (1 - u) + u * u) - 1).otherwise(F.greatest(k * TEXT_MATCH - 1, F.lit(NUMBER_EXCESS)))
             z = ((k - 1) + n * c - chi) / F.sqrt(2 * (k - 1) + 4 * n * c)
             return F.when((F.abs(serial) > 3) | (F.abs(runs) > 3), F.lit(1.0)).otherwise(_normal_tail(z))
 
         return let(F.struct(codes.alias("v")), tests)
 
-    mixed = (F.regexp_replace(token, r"[^0-9]+", "") != "") & (F.regexp_replace(token, r"[^A-Za-z]+", "") != "")
-    return F.when(mixed, let(F.struct(F.filter(F.split(F.rtrim(token, F.lit("=")), ""), lambda c: c != "").alias("c"), kind.alias("k")), body)).otherwise(F.lit(1.0))
+    return F.when(F.length(F.rtrim(token, F.lit("="))) > 1, let(F.struct(F.filter(F.split(F.rtrim(token, F.lit("=")), ""), lambda c: c != "").alias("c"), kind.alias("k")), body)).otherwise(F.lit(1.0))
 
 
 def length_class(n: Column) -> Column:
