@@ -1,7 +1,7 @@
 """Quality rules over documents, and across them: lines too frequent on their host go, and depleted documents with them.
 
 Native DataFrame functions only. Counted are distinct texts per (host, line), so copies of one text make none of their
-lines common; each row gives its distinct lines once, and the count is combined before and after its two shuffles.
+lines common. Texts meet common lines by rows of (host, line), so a host may have any number of texts and common lines.
 """
 
 from __future__ import annotations
@@ -15,12 +15,13 @@ SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 #: Percent of words that may lie in repeated 3-word windows.
 MAX_REPEATED = 50
-#: A line is common if more distinct texts of its host hold it than LINE_TEXTS and than LINE_SHARE of the host's texts.
+#: A line is common if more distinct texts of its host hold it than LINE_TEXTS, however many the host has.
 LINE_TEXTS = 50
+#: Only ORACLE_SQL asks for this share of the host's texts as well; it is below LINE_TEXTS in hosts of up to 2,500 texts.
 LINE_SHARE = 0.02
 #: Percent of words that must be left when common lines are gone.
 MIN_LEFT = 50
-#: Rows of common lines (hash and host) up to which their table is broadcast; about 40 bytes each.
+#: Rows of lines (hash, and host or text) up to which their table is broadcast; about 40 bytes each.
 BROADCAST_LINES = 200_000
 
 
@@ -71,29 +72,35 @@ def base_counts(text: Column) -> dict[str, Column]:
     }
 
 
-def common_lines(docs: DataFrame, text: str, host: str, texts: int = LINE_TEXTS, share: float = LINE_SHARE) -> DataFrame:
-    """(_host, _lines): the hashes of each host's common lines. Above the share, a host has at most 1 / share times its mean count of lines of them."""
-    d = docs.select(F.coalesce(F.col(host).cast("string"), F.lit("")).alias("_host"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_text"), F.array_distinct(line_hashes(F.col(text))).alias("_l"))
-    per_line = d.select("_host", "_text", F.explode("_l").alias("_line")).filter("_line is not null").distinct().groupBy("_host", "_line").agg(F.count("*").alias("_n")).filter(F.col("_n") > texts)
-    per_host = docs.select(F.coalesce(F.col(host).cast("string"), F.lit("")).alias("_host"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_text")).distinct().groupBy("_host").agg(F.count("*").alias("_docs"))
-    found = per_line.join(per_host, "_host").filter(F.col("_n") > share * F.col("_docs"))
-    return found.groupBy("_host").agg(F.collect_list("_line").alias("_lines"))
+def line_rows(docs: DataFrame, text: str, host: str) -> DataFrame:
+    """(_host, _text, _l): the line hashes of each distinct text of a host."""
+    d = docs.select(F.coalesce(F.col(host).cast("string"), F.lit("")).alias("_host"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_text"), F.array_compact(F.array_distinct(line_hashes(F.col(text)))).alias("_l"))
+    return d.dropDuplicates(["_host", "_text"])
 
 
-def apply_rules(docs: DataFrame, text: str = "text", host: str = "source", **limits: float) -> DataFrame:
+def small(df: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(df) if rows <= BROADCAST_LINES else df
+
+
+def common_lines(rows: DataFrame, texts: int = LINE_TEXTS) -> DataFrame:
+    """(_host, _text, _lines): the hashes of the common lines of each of line_rows' texts that has some."""
+    each = rows.select("_host", "_text", F.explode("_l").alias("_line"))
+    found = written(each.groupBy("_host", "_line").agg(F.count("*").alias("_n")).filter(F.col("_n") > texts).select("_host", "_line"), "common-lines")
+    return each.join(small(found, found.count()), ["_host", "_line"]).groupBy("_host", "_text").agg(F.collect_list("_line").alias("_lines"))
+
+
+def apply_rules(docs: DataFrame, text: str = "text", host: str = "source", **limits: int) -> DataFrame:
     """docs with base counts, n_common_lines, n_words_left, base_failed, kept and clean_text (common lines removed).
 
     Null text: no words, base_failed. Null host: a host of its own. Repeated rows stay and count as one text. Columns of
     docs that bear an added name are replaced. An empty table gives an empty one.
     """
-    found = common_lines(docs, text, host, **limits)
-    found = written(found, "common-lines")
-    if (found.agg(F.sum(F.size("_lines"))).first()[0] or 0) <= BROADCAST_LINES:
-        found = F.broadcast(found)
+    found = written(common_lines(written(line_rows(docs, text, host), "lines"), **limits), "text-lines")
+    found = small(found, found.agg(F.sum(F.size("_lines"))).first()[0] or 0)
     added = [*base_counts(F.col(text)), "n_common_lines", "n_words_left", "base_failed", "kept", "clean_text"]
     base = docs.drop(*[c for c in added if c not in (text, host)])
-    out = base.withColumns(base_counts(F.col(text))).withColumn("_host", F.coalesce(F.col(host).cast("string"), F.lit("")))
-    out = out.join(found, "_host", "left")
+    out = base.withColumns(base_counts(F.col(text))).withColumns({"_host": F.coalesce(F.col(host).cast("string"), F.lit("")), "_text": F.xxhash64(F.coalesce(F.col(text), F.lit("")))})
+    out = out.join(found, ["_host", "_text"], "left")
     lines = F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1)
     common = lambda x: let(normal_line(x), lambda n: (n != "") & F.array_contains(F.col("_lines"), F.xxhash64(n)))
     clean = F.when(F.col("_lines").isNull(), F.col(text)).otherwise(F.array_join(F.filter(lines, lambda x: ~common(x)), "\n"))
@@ -102,7 +109,7 @@ def apply_rules(docs: DataFrame, text: str = "text", host: str = "source", **lim
     out = out.withColumn("n_words_left", F.when(F.col("_lines").isNull(), F.col("n_words")).otherwise(F.size(words(F.col("clean_text")))).cast("long"))
     out = out.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words")))
     out = out.withColumn("kept", ~F.col("base_failed") & (100 * F.col("n_words_left") >= MIN_LEFT * F.col("n_words")))
-    return out.drop("_host", "_lines")
+    return out.drop("_host", "_text", "_lines")
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
