@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from lodestone.llm.common import let, table, written
 
 EDITS = 2
-#: Shorter lines are left alone: two edits make other words of them.
+#: Shorter lines are not joined: two edits make other words of them. Their exact repeats go where `repeats` asks for it.
 MIN_CHARS = 30
 
 
@@ -178,15 +178,16 @@ def later_lines(distinct: DataFrame, t: int = EDITS) -> DataFrame:
     return dealt.filter(near).select(F.when(F.col("in_order"), F.col("b")).otherwise(F.col("a")).alias("h")).distinct()
 
 
-def removed_lines(docs: DataFrame, t: int = EDITS, least: int = MIN_CHARS) -> DataFrame:
+def removed_lines(docs: DataFrame, t: int = EDITS, least: int = MIN_CHARS, repeats: int = MIN_CHARS) -> DataFrame:
     """(doc_id, text_hash, removed): the numbers, from 0, of the lines that go, sorted; documents that lose none are absent.
 
     A line goes unless its place (doc_id, number) is the first of its text and no distinct line with an earlier first
-    place is within t edits. Null doc_ids come before all others.
+    place is within t edits. Null doc_ids come before all others. Lines of `repeats` to least - 1 characters with a word
+    are never joined, and go unless theirs is the first place of their text.
     """
-    lines = lines_of(docs, least)
+    lines = lines_of(docs, min(least, repeats)).filter((F.length("line") >= least) | F.col("line").rlike(r"[^\x20\x09-\x0D]"))
     distinct = written(lines.groupBy("h").agg(F.min(F.struct("doc_id", "text_hash", "pos")).alias("first"), F.first("line").alias("line")).withColumn("counts", letter_counts(F.col("line"))), "lines")
-    later = later_lines(distinct, t).withColumn("late", F.lit(True))
+    later = later_lines(distinct.filter(F.length("line") >= least), t).withColumn("late", F.lit(True))
     verdict = distinct.select("h", "first").join(later, "h", "left")
     placed = lines.select("doc_id", "text_hash", "pos", "h").join(verdict, "h")
     same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash")) & (F.col("pos") == F.col("first.pos"))
@@ -194,12 +195,12 @@ def removed_lines(docs: DataFrame, t: int = EDITS, least: int = MIN_CHARS) -> Da
     return gone.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set("pos")).alias("removed"))
 
 
-def dedup_lines(docs: DataFrame, t: int = EDITS, least: int = MIN_CHARS) -> DataFrame:
+def dedup_lines(docs: DataFrame, t: int = EDITS, least: int = MIN_CHARS, repeats: int = MIN_CHARS) -> DataFrame:
     """docs (doc_id, text, ...) with removed (line numbers) and clean_text, the text without them; null text stays null.
 
     Other columns and repeated rows stay; columns that bear an added name are replaced. An empty table gives an empty one.
     """
-    found = removed_lines(docs, t, least).select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h"), F.col("removed").alias("_r"))
+    found = removed_lines(docs, t, least, repeats).select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h"), F.col("removed").alias("_r"))
     base = docs.drop(*[c for c in ("removed", "clean_text") if c not in ("doc_id", "text")]).withColumn("_t", F.xxhash64(F.coalesce("text", F.lit(""))))
     out = base.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col("_d")) & (F.col("_t") == F.col("_h")), "left")
     keep = F.filter(F.split("text", "\n", -1), lambda x, i: ~F.array_contains(F.col("_r"), i))
@@ -215,8 +216,8 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: texts lose their later lines; documents without a word left go, as all they had is kept elsewhere."""
-    out = dedup_lines(docs).filter((F.size("removed") == 0) | (F.col("clean_text").rlike(r"[^\x20\x09-\x0D]")))
+    """Pipeline stage: texts lose their later lines, repeats of short ones included; documents without a word left go, as all they had is kept elsewhere."""
+    out = dedup_lines(docs, repeats=1).filter((F.size("removed") == 0) | (F.col("clean_text").rlike(r"[^\x20\x09-\x0D]")))
     return out.select(*[F.col("clean_text").alias("text") if c == "text" else F.length("clean_text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
 
 
