@@ -28,7 +28,8 @@ STAGES = [
     ("secret scans", secrets_stage),
     ("packing", packing_stage),
 ]
-#: Packing's tokenizer and BM25 order can't be put in SQL; tests hold the stages against brute force.
+#: Packing's tokenizer and BM25 order can't be put in SQL; tests/llm/test_pipeline.py holds the stages and run() against plain
+#: Python, for packing that each token of each document is there once.
 ORACLE_SQL = None
 
 
