@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -23,16 +26,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+ROWS, BYTES = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextmanager
+def wide_batches(spark: SparkSession, rows: int = 1 << 16) -> Iterator[None]:
+    """Batches of many rows for what runs inside: rows of a few numbers each."""
+    before = spark.conf.get(ROWS, None)
+    spark.conf.set(ROWS, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.unset(ROWS) if before is None else spark.conf.set(ROWS, before)
+
+
 def small_batches(spark: SparkSession, rows: int = 512) -> None:
     """Bound what a Python worker holds at once: texts may be very long, so few rows and bytes go into a batch."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    spark.conf.set(ROWS, str(rows))
+    spark.conf.set(BYTES, str(4 << 20))
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; where it is unset (tests), one of our own."""
+    """The folder that driver and executors share: spark.checkpoint.dir; where it is unset and all run in one process (tests), one of our own."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="lodestone-shared-")
         spark.sparkContext.setCheckpointDir(found)
     return found if "://" in found or found.startswith("file:") else f"file://{os.path.abspath(found)}"
@@ -42,12 +61,38 @@ def scratch(spark: SparkSession, what: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/lodestone/{what}-{uuid.uuid4().hex}"
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def tidy(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what runs inside go as soon as it ends, not when the driver happens to collect its garbage."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+
+
 def written(df: DataFrame, what: str) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back: cuts lineage, and survives lost executors."""
     spark = df.sparkSession
     path = scratch(spark, what)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    with tidy(spark):
+        df.write.option("compression", "zstd").parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def dropped(*tables: DataFrame | None) -> None:
+    """Delete written tables that nothing reads any more."""
+    for df in tables:
+        if path := getattr(df, "scratch_path", None):
+            spark = df.sparkSession
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def local_path(uri: str) -> str | None:
@@ -103,6 +148,15 @@ def store_map(uri: str) -> np.ndarray:
         return np.frombuffer(f.read(), dtype=np.uint8)
 
 
+def trimmed_heap() -> None:
+    """Give freed memory back to the system: workers stay for later stages, and an executor's limit counts all of them."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def lower_ascii(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import written
+from lodestone.llm.common import dropped, written
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -31,7 +31,8 @@ def components(links: DataFrame) -> DataFrame:
         # small star: every node hands its smaller neighbours, and itself, to the smallest of them
         low = large.groupBy("b").agg(F.min("a").alias("m"))
         small = large.join(low, "b").select(F.col("m").alias("x"), F.col("a").alias("y")).union(low.select("m", "b"))
-        edges = written(small.filter("x < y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct().coalesce(parts), "star")
+        old, edges = edges, written(small.filter("x < y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct().coalesce(parts), "star")
+        dropped(old, large)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
         if now == before:
             break

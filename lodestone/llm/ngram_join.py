@@ -9,7 +9,7 @@ Shingles are ordered by a count sketch of fixed size, frequent ones last, which
 Equal sets count as one node. The rows (key, node) are range-partitioned and sorted, so a key of any weight may span
 partitions; scanning a run of equal keys is streaming. In a list, a pivot stands for its members: links to it join most
 of a large class, and then only pairs of members from different classes are left. The join on lists lets those go whose
-sizes and counts by cell rule a link out (may_link); all others are verified.
+sizes and parities by cell rule a link out (may_link); longer parities rule out most others, and what is left is verified.
 """
 
 from __future__ import annotations
@@ -23,14 +23,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import hash_words, mix64, small_batches, table, written
+from lodestone.llm.common import dropped, hash_words, mix64, small_batches, table, trimmed_heap, wide_batches, written
 from lodestone.llm.components import components
 
 SHINGLE = 5
 PERCENT = 80
 SUBSET = 2
 SKETCH = 1 << 20
-OUTLINE = 128
+#: Cells of the shortest signature; a power of two.
+LEAST_CELLS = 256
 #: Nodes up to which their names are broadcast to fetch documents; 8 bytes each.
 BROADCAST_NODES = 500_000
 #: Rounds in which lists link their members to a pivot, before the pairs of different classes are enumerated.
@@ -68,31 +69,33 @@ def prefix_length(n: int, shared: int, percent: int = PERCENT) -> int:
     return min(n, n - -(-percent * n // 100) + shared)
 
 
-def outline(s: np.ndarray) -> bytes:
-    """How many of a set's shingles fall into each of OUTLINE cells; sums of minima bound what two sets share."""
-    return np.minimum(255, np.bincount((s >> np.uint64(40)).astype(np.int64) % OUTLINE, minlength=OUTLINE)).astype(np.uint8).tobytes()
+def signature(s: np.ndarray) -> np.ndarray:
+    """Parities of how many of a set's shingles fall into each of m cells, packed into bytes: m is the power of two from the set's size on.
+
+    Two sets' parities differ in at least one shingle of either set each, so the differing cells bound what sets share.
+    A signature takes 1 to 2 bits a shingle. Folding its halves onto each other gives the signature of half as many cells.
+    """
+    m = max(LEAST_CELLS, 1 << max(0, len(s) - 1).bit_length())
+    odd = np.bincount((s >> np.uint64(20)).astype(np.int64) & (m - 1), minlength=m) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little")
 
 
-def bits_of(outlines: np.ndarray) -> np.ndarray:
-    """Four int64 a row of outlines (rows x OUTLINE): the low bits of the counts, then the next bits."""
-    planes = np.packbits(np.stack((outlines & 1, outlines >> 1 & 1), axis=1), axis=2, bitorder="little")
-    return np.ascontiguousarray(planes).view(np.int64).reshape(len(outlines), OUTLINE // 32)
+def folded(sig: np.ndarray, size: int) -> np.ndarray:
+    """A signature of `size` bytes from a longer one."""
+    while len(sig) > size:
+        sig = sig[: len(sig) // 2] ^ sig[len(sig) // 2 :]
+    return sig
 
 
 def may_link(percent: int = PERCENT) -> Column:
-    """Whether sizes na, nb and bits a0-a3, b0-b3 allow a link; no link is lost.
+    """Whether sizes na, nb and folded signatures a0-a3, b0-b3 allow a link; no link is lost.
 
-    Sets that link differ in at most (100 - percent) / (100 + percent) of their added sizes. Cells' counts modulo 4
-    differ, around the circle, by no more than the sets do: by 1 where low bits differ, by 2 where only the next do.
-    Bits are null where a count is cut at 255, and then allow all.
+    Sets that link differ in at most (100 - percent) / (100 + percent) of their added sizes.
     """
-    apart = F.lit(0)
-    for low, high in (("0", "2"), ("1", "3")):
-        odd = F.col(f"a{low}").bitwiseXOR(F.col(f"b{low}"))
-        apart = apart + F.bit_count(odd) + 2 * F.bit_count(F.col(f"a{high}").bitwiseXOR(F.col(f"b{high}")).bitwiseAND(F.bitwise_not(odd)))
+    apart = sum((F.bit_count(F.col(f"a{i}").bitwiseXOR(F.col(f"b{i}"))) for i in range(LEAST_CELLS // 64)), F.lit(0))
     near = (100 + percent) * apart <= (100 - percent) * (F.col("na") + F.col("nb"))
     sized = (100 * F.col("na") >= percent * F.col("nb")) & (100 * F.col("nb") >= percent * F.col("na"))
-    return sized & F.coalesce(near, F.lit(True))
+    return sized & near
 
 
 def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
@@ -166,9 +169,10 @@ def keyed(docs: DataFrame, cells: np.ndarray, bound: int, percent: int = PERCENT
             keys = [_signed(keys_of(s, order.value, bound, percent)) for s in sets]
             bounds = np.concatenate(([0], np.cumsum([len(k) for k in keys]))).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([node_of(s) for s in sets], pa.int64()), pa.array([outline(s) for s in sets], pa.binary()), lists], ["doc_id", "n", "node", "outline", "keys"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([node_of(s) for s in sets], pa.int64()), pa.array([signature(s).tobytes() for s in sets], pa.binary()), lists], ["doc_id", "n", "node", "sig", "keys"])
+        trimmed_heap()
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n long, node long, outline binary, keys array<long>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n long, node long, sig binary, keys array<long>")
 
 
 def _runs(batches: Iterator[pa.RecordBatch], most: int = RUN_ROWS) -> Iterator[pa.RecordBatch]:
@@ -213,11 +217,14 @@ def _runs(batches: Iterator[pa.RecordBatch], most: int = RUN_ROWS) -> Iterator[p
         yield batch_of(held_k, held_n)
 
 
-def lists_of(rows: DataFrame, parts: int) -> DataFrame:
-    """(list, node): each node once in each list of two nodes or more."""
+def runs_of(rows: DataFrame, parts: int) -> DataFrame:
+    """(list, node): each node once in each list; a few lists have one node only."""
     pairs = rows.select(F.explode("keys").alias("key"), "node")
-    found = pairs.repartitionByRange(parts, "key", "node").sortWithinPartitions("key", "node").mapInArrow(_runs, "list long, node long").distinct()
-    found = written(found, "lists")
+    return pairs.repartitionByRange(parts, "key", "node").sortWithinPartitions("key", "node").mapInArrow(_runs, "list long, node long").distinct()
+
+
+def shared_lists(found: DataFrame) -> DataFrame:
+    """Those of lists with two nodes or more."""
     full = found.groupBy("list").agg(F.count("*").alias("c")).filter("c > 1").select("list")
     return found.join(full, "list")
 
@@ -234,36 +241,46 @@ def node_sets(docs: DataFrame, rows: DataFrame, pairs: DataFrame) -> DataFrame:
         for batch in batches:
             sets = shingle_sets(batch.column(0))
             yield pa.RecordBatch.from_arrays([pa.array([node_of(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "set"])
+        trimmed_heap()
 
     picked = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("d"), "text").join(some, "d", "left_semi").select("text")
     return picked.mapInArrow(run, "node long, set binary").groupBy("node").agg(F.first("set").alias("set"))
 
 
-def outlined_bits(outlines: DataFrame) -> DataFrame:
-    """(node, n, bits0 to bits3) of (node, n, outline)."""
+def items(column: pa.Array, kind: str) -> list[np.ndarray]:
+    """A binary column's values as arrays over its own bytes, without a copy."""
+    _, bounds, data = column.buffers()
+    at = np.frombuffer(bounds, np.int32)[column.offset : column.offset + len(column) + 1].tolist() if len(column) else []
+    raw = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return [raw[a:b].view(kind) for a, b in zip(at[:-1], at[1:], strict=True)]
+
+
+def folded_bits(signed: DataFrame) -> DataFrame:
+    """(node, n, bits0, ...) of (node, n, sig): signatures folded to LEAST_CELLS, as bigints."""
+    words = [f"bits{i}" for i in range(LEAST_CELLS // 64)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cells = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint8).reshape(-1, OUTLINE)
-            cut, bits = (cells == 255).any(axis=1), bits_of(cells)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array(bits[:, i], mask=cut) for i in range(4)]], ["node", "n", "bits0", "bits1", "bits2", "bits3"])
+            if batch.num_rows:
+                bits = np.stack([folded(s, LEAST_CELLS // 8) for s in items(batch.column(2), "u1")]).view(np.int64)
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array(np.ascontiguousarray(bits[:, i])) for i in range(len(words))]], ["node", "n", *words])
 
-    return outlines.select("node", "n", "outline").mapInArrow(run, "node long, n long, bits0 long, bits1 long, bits2 long, bits3 long")
+    return signed.select("node", "n", "sig").mapInArrow(run, "node long, n long, " + ", ".join(f"{w} long" for w in words))
 
 
-def possible(pairs: DataFrame, outlines: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Those of pairs (a, b) whose sizes and outlines allow a link; no link is lost."""
-    side = lambda k, x: outlines.select(F.col("node").alias(k), F.col("n").alias(f"n{k}"), F.col("outline").alias(x))
+def possible(pairs: DataFrame, signed: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Those of pairs (a, b) whose sizes and signatures allow a link; no link is lost."""
+    side = lambda k, x: signed.select(F.col("node").alias(k), F.col("n").alias(f"n{k}"), F.col("sig").alias(x))
     near = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").filter(f"100 * na >= {percent} * nb and 100 * nb >= {percent} * na").select("a", "b", "na", "nb", "x", "y")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            na, nb = (batch.column(i).to_numpy(zero_copy_only=False) for i in (2, 3))
-            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, OUTLINE) for i in (4, 5))
-            both = np.minimum(x, y).astype(np.int64).sum(axis=1)
-            m = pa.array((100 * both >= percent * (na + nb - both)) | (x == 255).any(axis=1) & (y == 255).any(axis=1))
+            both = batch.column(2).to_numpy(zero_copy_only=False) + batch.column(3).to_numpy(zero_copy_only=False)
+            apart = []
+            for x, y in zip(items(batch.column(4), "u1"), items(batch.column(5), "u1"), strict=True):
+                size = min(len(x), len(y))
+                apart.append(int(np.bitwise_count(folded(x, size) ^ folded(y, size)).sum(dtype=np.int64)))
+            m = pa.array((100 + percent) * np.array(apart, np.int64) <= (100 - percent) * both)
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(m), batch.column(1).filter(m)], ["a", "b"])
 
     return near.mapInArrow(run, "a long, b long")
@@ -275,9 +292,9 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = [linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
-            m = pa.array(keep, pa.bool_())
+            m = pa.array([linked(x, y, percent) for x, y in zip(items(batch.column(2), "<u8"), items(batch.column(3), "<u8"), strict=True)], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(m), batch.column(1).filter(m)], ["a", "b"])
+        trimmed_heap()
 
     return both.mapInArrow(run, "a long, b long")
 
@@ -292,12 +309,17 @@ def classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     spark = docs.sparkSession
     small_batches(spark)
     cells, sizes, heavy = sketch(docs)
-    rows = written(keyed(docs, cells, boundary(sizes, heavy, percent), percent), "keys")
-    keys = rows.agg(F.sum(F.size("keys"))).first()[0] or 0
+    wide = written(keyed(docs, cells, boundary(sizes, heavy, percent), percent), "keys")
+    keys = wide.agg(F.sum(F.size("keys"))).first()[0] or 0
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), keys // 4_000_000)
-    lists = written(lists_of(rows.filter("n > 0"), parts), "members")
+    with wide_batches(spark):
+        found = written(runs_of(wide.filter("n > 0"), parts), "lists")
+    rows = written(wide.drop("keys"), "rows")
+    dropped(wide)
+    lists = written(shared_lists(found), "members")
+    dropped(found)
     nodes = written(lists.select("node").distinct(), "nodes")
-    outlines = written(rows.select("node", "n", "outline").join(nodes, "node").groupBy("node").agg(F.first("n").alias("n"), F.first("outline").alias("outline")), "outlines")
+    signed = written(rows.select("node", "n", "sig").join(nodes, "node").dropDuplicates(["node"]), "signatures")
     labels = nodes.select("node", F.col("node").alias("root"))
     links = tried = None
     for turn in range(PIVOT_ROUNDS + 1):
@@ -309,20 +331,22 @@ def classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
             # lists whose members are all in one class have nothing left
             open_ = named.groupBy("list").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("list")
             left = named.join(open_, "list")
-            left = left.join(outlined_bits(outlines), "node")
-            side = lambda k, r: left.select("list", F.col("node").alias(k), F.col("root").alias(r), F.col("n").alias(f"n{k}"), *[F.col(f"bits{i}").alias(f"{k}{i}") for i in range(4)])
+            left = left.join(folded_bits(signed), "node")
+            side = lambda k, r: left.select("list", F.col("node").alias(k), F.col("root").alias(r), F.col("n").alias(f"n{k}"), *[F.col(f"bits{i}").alias(f"{k}{i}") for i in range(LEAST_CELLS // 64)])
             pairs = side("a", "r").join(side("b", "q"), "list").filter("a < b and r <> q").filter(may_link(percent)).select("a", "b")
         pairs = pairs.distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = written(possible(pairs, outlines, percent), "pairs")
+        pairs = written(possible(pairs, signed, percent), "pairs")
         if not pairs.isEmpty():
             new = written(verified(pairs, node_sets(docs, rows, pairs), percent), "links")
             tried = pairs if tried is None else tried.union(pairs)
             if new.isEmpty():
                 continue
             links = new if links is None else links.union(new)
-            labels = written(nodes.join(components(links), "node", "left").select("node", F.coalesce("root", "node").alias("root")), "labels")
+            old, labels = labels, written(nodes.join(components(links), "node", "left").select("node", F.coalesce("root", "node").alias("root")), "labels")
+            dropped(old)
+    dropped(lists, signed)
     least = rows.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
     named = least.join(labels, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "least")
     final = named.join(named.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("node", "component_id")

@@ -255,7 +255,7 @@ def test_bits_never_part_linked_sets(spark):
         base = rng.integers(0, 2**63, int(rng.integers(1, 900))).astype(np.uint64)
         fresh = rng.integers(0, 2**63, int(rng.integers(0, max(1, len(base) // 3)))).astype(np.uint64)
         sets.append((np.unique(base), np.unique(np.concatenate((base[int(rng.integers(0, max(1, len(base) // 5))) :], fresh)))))
-    side = lambda x: (len(x), *ngram_join.bits_of(np.frombuffer(ngram_join.outline(x), np.uint8).reshape(1, -1))[0].tolist())
+    side = lambda x: (len(x), *ngram_join.folded(ngram_join.signature(x), ngram_join.LEAST_CELLS // 8).view(np.int64).tolist())
     rows = [(ngram_join.linked(a, b), *side(a), *side(b)) for a, b in sets] + [(False, *side(sets[0][0]), *side(sets[1][0]))]
     names = "link boolean, na long, a0 long, a1 long, a2 long, a3 long, nb long, b0 long, b1 long, b2 long, b3 long"
     found = spark.createDataFrame(rows, names).select("link", ngram_join.may_link().alias("may")).collect()
