@@ -183,7 +183,8 @@ def _mix(h: np.ndarray) -> np.ndarray:
 mix64 = _mix
 _BLOCK = 1 << 19
 _BASE = 0x9E3779B97F4A7C15
-_LETTER = _mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))
+EXACT = _mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))
+_LETTER = EXACT.copy()
 _LETTER[65:91] = _LETTER[97:123]  # A-Z hash as a-z
 _IS_SPACE = np.zeros(256, dtype=bool)
 _IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -245,6 +246,11 @@ def hash_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     last[:-1] &= ~solid[1:]
     last[inner - 1] |= solid[inner - 1]
     ends = np.flatnonzero(last) + 1
+    return hash_spans(raw, starts, ends, _LETTER), np.searchsorted(starts, at)
+
+
+def hash_spans(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, letters: np.ndarray = EXACT) -> np.ndarray:
+    """64-bit hashes of spans of bytes that follow one another, each by its letters' values."""
     out = np.empty(len(starts), dtype=np.uint64)
     i = 0
     while i < len(starts):
@@ -253,11 +259,17 @@ def hash_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         hi = ends[j - 1]
         power, inverse = _powers(int(hi - lo) + 1)
         sums = np.zeros(int(hi - lo) + 1, dtype=np.uint64)
-        np.cumsum(_LETTER[raw[lo:hi]] * power[: hi - lo], dtype=np.uint64, out=sums[1:])
+        np.cumsum(letters[raw[lo:hi]] * power[: hi - lo], dtype=np.uint64, out=sums[1:])
         a, b = starts[i:j] - lo, ends[i:j] - lo
         out[i:j] = (sums[b] - sums[a]) * inverse[a] + (b - a).astype(np.uint64)
         i = j
-    return _mix(out), np.searchsorted(starts, at)
+    return _mix(out)
+
+
+def ragged(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places start[0], start[0] + 1, ... of size[0] items, then those of start[1], and so on."""
+    before = np.cumsum(size) - size
+    return np.repeat(start - before, size) + np.arange(int(size.sum()))
 
 
 def merge_counts(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:

@@ -19,11 +19,12 @@ import json
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import hash_words, merge_counts, mix64, scratch, small_batches, store_map, store_put, table
+from lodestone.llm.common import hash_words, merge_counts, mix64, open_in, scratch, small_batches, store_map, store_put, table, tidy, trimmed_heap
 
 ORDER = 3
 DISCOUNT = 0.75
@@ -61,7 +62,7 @@ def pack_sequence(values: np.ndarray, name: str) -> tuple[dict[str, np.ndarray],
     low = max(0, (top // max(n, 1)).bit_length() - 1)
     high = (v >> U(low)).astype(np.int64)
     ones = high + np.arange(n)
-    words = (int(high[-1]) + n) // 64 + 1 if n else 1
+    words = (int(high[-1]) + n) // 64 + 2 if n else 1
     bits = np.zeros(words * 64, np.uint8)
     bits[ones] = 1
     h = np.packbits(bits, bitorder="little").view(U)
@@ -103,6 +104,17 @@ class Sequence:
         w = np.searchsorted(self.zero, k, side="right") - 1
         return w * 64 + select_in_word(~self.h[w], k - self.zero[w].astype(np.int64))
 
+    def _clear(self, bit: np.ndarray) -> np.ndarray:
+        """The first clear bit from each place on."""
+        w = bit >> 6
+        free = ~self.h[w] >> (bit & 63).astype(U) << (bit & 63).astype(U)
+        full = np.flatnonzero(free == 0)
+        while len(full):
+            w[full] += 1
+            free[full] = ~self.h[w[full]]
+            full = full[free[full] == 0]
+        return (w << 6) + np.bitwise_count((free & -free) - U(1)).astype(np.int64)
+
     def find(self, x: np.ndarray) -> np.ndarray:
         """The place of each value, -1 where absent: successor search among those with the same high bits."""
         out = np.full(len(x), -1, np.int64)
@@ -114,8 +126,8 @@ class Sequence:
             return out
         high = (y >> U(self.low)).astype(np.int64)
         want = y & U((1 << self.low) - 1)
-        lo = np.where(high > 0, self._zero(np.maximum(high - 1, 0)) + 1 - high, 0)
-        hi = self._zero(high) - high
+        bit = np.where(high > 0, self._zero(np.maximum(high - 1, 0)) + 1, 0)
+        lo, hi = bit - high, self._clear(bit) - high
         end = hi.copy()
         while True:  # the first of the run whose low bits aren't less
             open_ = np.flatnonzero(lo < hi)
@@ -153,6 +165,7 @@ class Shard:
         self.a = {k: raw[8 + n + at : 8 + n + at + size * np.dtype(kind).itemsize].view(kind) for k, (kind, at, size) in head["arrays"].items()}
         self.keys = Sequence(self.a, "key", self.info["key"])
         self.starts = Sequence(self.a, "ptr", self.info["ptr"]) if "ptr" in self.info else None
+        self.cum = Sequence(self.a, "cum", self.info["cum"]) if "cum" in self.info else None
 
 
 class Level:
@@ -169,7 +182,7 @@ class Level:
     def _each(self, where: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         if not len(where):
             return
-        order = None if (where[1:] >= where[:-1]).all() else np.argsort(where.astype(np.int32), kind="stable")
+        order = None if (where[1:] >= where[:-1]).all() else np.argsort(where.astype(np.int16 if len(self.shards) < 1 << 15 else np.int32), kind="stable")
         ranked = where if order is None else where[order]
         cuts = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1], [True])))
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
@@ -183,19 +196,25 @@ class Level:
                 out[sel] = np.where(got >= 0, got + self.begin[s], -1)
         return out
 
-    def gather(self, name: str, ids: np.ndarray, shift: int = 0) -> np.ndarray:
-        """An array's values at ids; of the running sums, those before the node (shift 0) or after it (1)."""
+    def gather(self, name: str, ids: np.ndarray) -> np.ndarray:
+        """An array's values at ids."""
         out = np.zeros(len(ids), np.int64)
         for s, sel in self._each(np.searchsorted(self.begin, ids, side="right") - 1):
-            out[sel] = self.shards[s].a[name][ids[sel] - self.begin[s] + shift]
+            out[sel] = self.shards[s].a[name][ids[sel] - self.begin[s]]
         return out
 
-    def before(self, ids: np.ndarray) -> np.ndarray:
-        """Training tokens of all nodes before each."""
-        return self.gather("cum", ids) + self.mass[np.searchsorted(self.begin, ids, side="right") - 1]
+    def masses(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(training tokens of all nodes before each, each one's own): from the running sums, an Elias-Fano sequence a shard."""
+        before, own = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
+        for s, sel in self._each(np.searchsorted(self.begin, ids, side="right") - 1):
+            at = ids[sel] - self.begin[s]
+            lo = self.shards[s].cum.value(at).astype(np.int64)
+            before[sel] = lo + self.mass[s]
+            own[sel] = self.shards[s].cum.value(at + 1).astype(np.int64) - lo
+        return before, own
 
     def count(self, ids: np.ndarray) -> np.ndarray:
-        return self.gather("cum", ids, 1) - self.gather("cum", ids)
+        return self.masses(ids)[1]
 
     def start(self, parents: np.ndarray) -> np.ndarray:
         """Where each parent's successors start."""
@@ -241,16 +260,17 @@ class Level:
 _OPEN: dict[str, list[Level]] = {}
 
 
-def opened(model: dict) -> list[Level]:
-    """A worker maps each model once."""
-    if model["name"] not in _OPEN:
+def opened(uri: str) -> list[Level]:
+    """The levels that a description in the shared folder names; a worker maps each model once."""
+    if uri not in _OPEN:
         _OPEN.clear()
-        _OPEN[model["name"]] = [Level(m) for m in model["levels"]]
-    return _OPEN[model["name"]]
+        with open_in(uri) as f:
+            _OPEN[uri] = [Level(m) for m in json.loads(f.read())]
+    return _OPEN[uri]
 
 
 def distinct_find(level: Level, keys: np.ndarray) -> np.ndarray:
-    u, back = np.unique(keys, return_inverse=True)
+    back, u = pd.factorize(keys)
     return level.find(u)[back]
 
 
@@ -286,7 +306,7 @@ def next_keys(levels: list[Level], k: int, ids: list[np.ndarray], fresh: np.ndar
     else:
         sel = np.flatnonzero((before >= 0) & (ids[k - 1] >= 0) & ~fresh)
         context = np.concatenate(([-1], ids[k - 2][:-1]))[sel]
-        u, back = np.unique(context, return_inverse=True)
+        back, u = pd.factorize(context)
         label = ids[k - 1][sel] - levels[k - 1].start(u)[back]
     return sel, before[sel].astype(U) * U(m) + label.astype(U)
 
@@ -295,59 +315,85 @@ def next_ids(levels: list[Level], k: int, ids: list[np.ndarray], fresh: np.ndarr
     out = np.full(len(fresh), -1, np.int64)
     if levels[k].size:
         sel, keys = next_keys(levels, k, ids, fresh, levels[k].meta["m"])
-        out[sel] = distinct_find(levels[k], keys)
+        out[sel] = levels[k].find(keys)
     return out
 
 
-def _counted(model: dict, k: int, shards: int):
-    """Counts n-grams of k + 1 words by task: (shard, key, count)."""
+def packed(x: np.ndarray) -> bytes:
+    """Byte planes of an array, compressed: small numbers take few bytes."""
+    planes = np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T)
+    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes, n: int, kind) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    planes = np.frombuffer(pa.decompress(data, decompressed_size=n * size, codec="zstd"), np.uint8).reshape(size, n)
+    return np.ascontiguousarray(planes.T).view(kind).reshape(n)
+
+
+def heads_of(x: np.ndarray) -> np.ndarray:
+    """Where a sorted array's runs of equal values start."""
+    return np.flatnonzero(np.concatenate(([True], x[1:] != x[:-1]))) if len(x) else np.zeros(0, np.int64)
 
-    def batch_of(keys: np.ndarray, counts: np.ndarray, levels: list[Level], m: int) -> Iterator[pa.RecordBatch]:
-        for a in range(0, len(keys), 1 << 19):
-            x, c = keys[a : a + (1 << 19)], counts[a : a + (1 << 19)]
-            if k == 0:
-                share = (x >> U(32)).astype(float) / 2.0**32
-            else:
-                up = levels[k - 1]
-                p, label = (x // U(m)).astype(np.int64), (x % U(m)).astype(float)
-                share = (up.before(p) + up.count(p) * (label / m)) / max(1, up.total)
-            s = np.minimum((share * shards).astype(np.int32), shards - 1)
-            yield pa.RecordBatch.from_arrays([pa.array(s), pa.array(x.view(np.int64)), pa.array(c.astype(np.int64))], ["shard", "key", "n"])
+
+def _counted(uri: str | None, k: int, shards: int):
+    """Counts n-grams of k + 1 words by task: a row per shard with the sorted keys' gaps and counts, packed."""
+
+    def batch_of(x: np.ndarray, c: np.ndarray, levels: list[Level], m: int) -> Iterator[pa.RecordBatch]:
+        if not len(x):
+            return
+        if k == 0:
+            share = (x >> U(32)).astype(float) / 2.0**32
+        else:
+            up = levels[k - 1]
+            p = (x // U(m)).astype(np.int64)
+            heads = heads_of(p)
+            size = np.diff(np.append(heads, len(p)))
+            before, own = up.masses(p[heads])
+            share = (np.repeat(before, size) + np.repeat(own, size) * ((x % U(m)).astype(float) / m)) / max(1, up.total)
+        s = np.minimum((share * shards).astype(np.int32), shards - 1)
+        cuts = heads_of(s)
+        for a, b in zip(cuts, np.append(cuts[1:], len(s)), strict=True):
+            keys = packed(np.diff(x[a:b], prepend=U(0)))
+            yield pa.RecordBatch.from_arrays([pa.array(s[a : a + 1]), pa.array([int(b - a)], pa.int64()), pa.array([keys], pa.binary()), pa.array([packed(c[a:b].astype(np.uint32))], pa.binary())], ["shard", "n", "keys", "counts"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        levels = opened(model) if k else []
+        levels = opened(uri) if uri else []
         m = levels[0].size if k else 0
-        keys, counts, held = [], [], 0
+        raw, held, done = [], 0, (np.zeros(0, U), np.zeros(0, np.int64))
+
+        def summed() -> tuple[np.ndarray, np.ndarray]:
+            x = np.sort(np.concatenate(raw)) if raw else np.zeros(0, U)
+            heads = heads_of(x)
+            x, c = x[heads], np.diff(np.append(heads, len(x)))
+            return merge_counts([done[0], x], [done[1], c]) if len(done[0]) else (x, c)
+
         for batch in batches:
             if not batch.num_rows:
                 continue
             if k == 0:
                 h, at = hash_words(batch.column(0))
-                x, c = np.unique(np.concatenate((h, np.full(len(at) - 1, END, U))), return_counts=True)
+                raw += [h, np.full(len(at) - 1, END, U)]
             else:
-                _, ids, fresh = token_ids(levels, batch.column(0))
-                x, c = np.unique(next_keys(levels, k, ids, fresh, m)[1], return_counts=True)
-            keys.append(x)
-            counts.append(c)
-            held += len(x)
+                _, ids, fresh = token_ids(levels[:k], batch.column(0))
+                raw.append(next_keys(levels, k, ids, fresh, m)[1])
+            held += len(raw[-1]) + (len(raw[-2]) if k == 0 else 0)
             if held > BUFFER:
-                x, c = merge_counts(keys, counts)
-                if len(x) > BUFFER // 2:
-                    yield from batch_of(x, c, levels, m)
-                    keys, counts, held = [], [], 0
-                else:
-                    keys, counts, held = [x], [c], len(x)
-        if keys:
-            yield from batch_of(*merge_counts(keys, counts), levels, m)
+                done, raw, held = summed(), [], 0
+                if len(done[0]) > BUFFER // 2:
+                    yield from batch_of(*done, levels, m)
+                    done = (np.zeros(0, U), np.zeros(0, np.int64))
+        yield from batch_of(*summed(), levels, m)
+        trimmed_heap()
 
     return run
 
 
-def _built(model: dict, k: int, folder: str, least: int):
+def _built(uri: str | None, k: int, folder: str, least: int, last: bool):
     """Writes a level's shards, the few that hash to one task; a line of figures for each."""
 
-    def finish(shard: int, keys: np.ndarray, counts: np.ndarray) -> dict | None:
-        x, c = merge_counts([keys], [counts])
+    def finish(shard: int, keys: list[np.ndarray], counts: list[np.ndarray]) -> dict | None:
+        x, c = merge_counts(keys, counts)
         if k and least > 1:
             keep = c >= least
             x, c = x[keep], c[keep]
@@ -355,18 +401,21 @@ def _built(model: dict, k: int, folder: str, least: int):
             return None
         arrays, key = pack_sequence(x, "key")
         info = {"key": key}
-        arrays["cum"] = np.concatenate(([0], np.cumsum(c))).astype(np.int64)
+        if not last:  # no level's probabilities are shares of the last one's counts
+            sums, info["cum"] = pack_sequence(np.concatenate(([0], np.cumsum(c))).astype(U), "cum")
+            arrays |= sums
         line = {"shard": shard, "n": len(x), "mass": int(c.sum()), "first": int(x[0])}
         if k:
-            levels = opened(model)
+            levels = opened(uri)
             m = levels[0].size
             p = (x // U(m)).astype(np.int64)
             p0, p1 = int(p[0]), int(p[-1])
-            u, back = np.unique(p, return_inverse=True)
-            a = (c - DISCOUNT) / levels[k - 1].count(u)[back]
+            heads = heads_of(p)
+            u, size = p[heads], np.diff(np.append(heads, len(p)))
+            a = (c - DISCOUNT) / np.repeat(levels[k - 1].count(u), size)
             arrays["prob"] = np.minimum(65535, np.round(-np.log10(a) * QUANT)).astype(np.uint16)
             used = np.zeros(p1 - p0 + 1)
-            used[u - p0] = np.bincount(back, weights=a)
+            used[u - p0] = np.add.reduceat(a, heads)
             arrays["left"] = np.minimum(65535, np.round(-np.log10(np.maximum(1e-9, 1 - used)) * QUANT)).astype(np.uint16)
             ptr, about = pack_sequence(np.searchsorted(p, np.arange(p0, p1 + 2)).astype(U), "ptr")
             arrays |= ptr
@@ -379,18 +428,16 @@ def _built(model: dict, k: int, folder: str, least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, tuple[list, list]] = {}
         for batch in batches:
-            s, x, n = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-            order = np.argsort(s, kind="stable")
-            cuts = np.flatnonzero(np.concatenate(([True], s[order][1:] != s[order][:-1], [True]))) if len(s) else np.zeros(0, np.int64)
-            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                keys, counts = held.setdefault(int(s[order[a]]), ([], []))
-                keys.append(x[order[a:b]].view(U))
-                counts.append(n[order[a:b]].astype(np.int32))
+            for s, n, x, c in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                keys, counts = held.setdefault(s, ([], []))
+                keys.append(np.cumsum(unpacked(x, n, U), dtype=U))
+                counts.append(unpacked(c, n, np.uint32))
         lines = []
         for shard in sorted(held):
             keys, counts = held.pop(shard)
-            if line := finish(shard, np.concatenate(keys), np.concatenate(counts).astype(np.int64)):
+            if line := finish(shard, keys, [c.astype(np.int64) for c in counts]):
                 lines.append(json.dumps(line))
+        trimmed_heap()
         yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], ["line"])
 
     return run
@@ -399,7 +446,7 @@ def _built(model: dict, k: int, folder: str, least: int):
 def train(docs: DataFrame, order: int = ORDER, least: int = LEAST_COUNT) -> dict:
     """A model of docs (text, ...): a description whose size is a line per shard, the levels being files in the shared folder.
 
-    Null texts are empty and count an end. An empty table makes a model without words. Each level is one counting pass,
+    The levels are described in a file beside them, so that tasks carry its name only. Null texts are empty and count an end. An empty table makes a model without words. Each level is one counting pass,
     one shuffle of counts that tasks have summed, and one task per shard that writes its file. least: see LEAST_COUNT.
     """
     spark = docs.sparkSession
@@ -408,16 +455,17 @@ def train(docs: DataFrame, order: int = ORDER, least: int = LEAST_COUNT) -> dict
     chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
     shards = max(LEAST_SHARDS, -(-chars // SHARD_CHARS))
     folder = scratch(spark, "trie")
-    model = {"name": folder, "levels": []}
+    levels: list[dict] = []
+    uri = None
     for k in range(order):
-        if k and not model["levels"][k - 1]["shards"]:
+        if k and not levels[k - 1]["shards"]:
             break
-        at = model | {"name": f"{folder}#{k}"}
-        rows = texts.mapInArrow(_counted(at, k, shards), "shard int, key long, n long").repartition(shards, "shard")
-        lines = sorted((json.loads(r["line"]) for r in rows.mapInArrow(_built(at, k, folder, least), "line string").collect()), key=lambda x: x["shard"])
-        meta = {"shards": lines, "m": sum(s["n"] for s in (model["levels"][0]["shards"] if k else lines))}
+        rows = texts.mapInArrow(_counted(uri, k, shards), "shard int, n long, keys binary, counts binary").repartition(shards, "shard")
+        with tidy(spark):
+            lines = sorted((json.loads(r["line"]) for r in rows.mapInArrow(_built(uri, k, folder, least, k == order - 1), "line string").collect()), key=lambda x: x["shard"])
+        meta = {"shards": lines, "m": sum(s["n"] for s in (levels[0]["shards"] if k else lines))}
         if k:
-            if sum(s["n"] for s in lines) and sum(s["n"] for s in model["levels"][k - 1]["shards"]) * meta["m"] >= 1 << 63:
+            if sum(s["n"] for s in lines) and sum(s["n"] for s in levels[k - 1]["shards"]) * meta["m"] >= 1 << 63:
                 raise ValueError("parents times labels of a level exceed 63 bits")
             mass: dict[int, list[float]] = {}
             for s in lines:
@@ -425,8 +473,10 @@ def train(docs: DataFrame, order: int = ORDER, least: int = LEAST_COUNT) -> dict
                 if s["p1"] != s["p0"]:
                     mass.setdefault(s["p1"], []).append(s["used1"])
             meta["lent"] = sorted((p, max(1e-9, 1 - sum(x))) for p, x in mass.items() if len(x) > 1)
-        model["levels"].append(meta)
-    return model | {"name": f"{folder}#whole", "tokens": sum(s["mass"] for s in model["levels"][0]["shards"]), "words": sum(s["n"] for s in model["levels"][0]["shards"])}
+        levels.append(meta)
+        uri = f"{folder}/levels-{k + 1}.json"
+        store_put(uri, json.dumps(levels).encode())
+    return {"uri": uri, "tokens": sum(s["mass"] for s in levels[0]["shards"]), "words": sum(s["n"] for s in levels[0]["shards"])}
 
 
 SCORES = "doc_id long, n_tokens long, n_known long, base_score double, score double"
@@ -435,10 +485,10 @@ SCORES = "doc_id long, n_tokens long, n_known long, base_score double, score dou
 def score(docs: DataFrame, model: dict) -> DataFrame:
     """SCORES for each row of docs (doc_id, text, ...): null text is empty and has one token, its end."""
     small_batches(docs.sparkSession)
-    total, distinct = model["tokens"], model["words"]
+    uri, total, distinct = model["uri"], model["tokens"], model["words"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        levels = opened(model)
+        levels = opened(uri)
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -446,7 +496,7 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
             first = ids[0]
             known = first >= 0
             count = np.zeros(len(first), np.int64)
-            u, back = np.unique(first[known], return_inverse=True)
+            back, u = pd.factorize(first[known])
             count[known] = levels[0].count(u)[back]
             p = (count + 1) / (total + distinct + 1)
             base = np.log10(p)
@@ -458,7 +508,7 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
                     context = np.where(fresh, -1, context)
                 sel = np.flatnonzero(context >= 0)
                 if len(sel) and levels[k].size:
-                    u, back = np.unique(context[sel], return_inverse=True)
+                    back, u = pd.factorize(context[sel])
                     p[sel] = levels[k].found(ids[k][sel]) + levels[k].left(u)[back] * p[sel]
             sums = lambda x: np.add.reduceat(x, bounds[:-1])
             yield pa.RecordBatch.from_arrays(

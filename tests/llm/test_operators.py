@@ -120,6 +120,10 @@ def test_sentencepiece(spark, odd, none):
     assert sorted(map(repr, ((r["doc_id"], r["ids"]) for r in coded.collect()))) == sorted(map(repr, ((d, sp.encode(t or "")) for d, t, _ in ODD)))
     assert {(r["doc_id"], r["text"]) for r in sentencepiece_lattice.decode(coded).collect()} == {(d, t or "") for d, t, _ in ODD}
     assert sentencepiece_lattice.encode(none).count() == 0
+    texts = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()]
+    texts += ["▁▁a ▁b", " lead", "tail  ", "\x01\x02 a\n\nb", "\u00a0x\u3000y", "aaaaaaaaaaaaaaaa bbbbbbb", "z" * 61, "żółć " * 9, None, ""]
+    many = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r["doc_id"]: r["ids"] for r in sentencepiece_lattice.encode(many).collect()} == {i: sp.encode(t or "") for i, t in enumerate(texts)}
 
 
 def test_viterbi(spark):
@@ -134,7 +138,7 @@ def test_viterbi(spark):
 
     words = {"".join(r.choice("ab") for _ in range(r.randrange(1, 9))) for _ in range(40)}
     table = spark.createDataFrame([(p, i, s) for i, (p, s) in enumerate(pieces.items())], "piece string, id int, score double")
-    out = sentencepiece_lattice.word_pieces(spark.createDataFrame([(0, w) for w in words], "shard int, word string"), table, 3, "unigram").collect()
+    out = sentencepiece_lattice.word_pieces(spark.createDataFrame([(0, w) for w in words], "shard int, word string"), table, 3).collect()
     assert len(out) == len(words)
     for x in out:
         assert abs(sum(pieces[x["word"][a:b]] for a, b in zip(x["cuts"], x["cuts"][1:])) - best(x["word"])) < 1e-9 and len(x["ids"]) == len(x["cuts"]) - 1
