@@ -14,6 +14,7 @@ the distinct lines; after it only hashes do, until pairs that met are verified.
 
 from __future__ import annotations
 
+import uuid
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -216,9 +217,13 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: texts lose their later lines, repeats of short ones included; documents without a word left go, as all they had is kept elsewhere."""
-    out = dedup_lines(docs, repeats=1).filter((F.size("removed") == 0) | (F.col("clean_text").rlike(r"[^\x20\x09-\x0D]")))
-    return out.select(*[F.col("clean_text").alias("text") if c == "text" else F.length("clean_text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
+    """Pipeline stage: texts lose their later lines, repeats of short ones included; documents without a word left go, as all they had is kept elsewhere.
+
+    Null and empty texts stay, as do columns of any name; n_chars follows. Rows with equal id and text count as one and keep the same lines.
+    """
+    own = {c: f"{c}_{uuid.uuid4().hex}" for c in docs.columns if c not in ("doc_id", "text")}
+    out = dedup_lines(docs.withColumnsRenamed(own), repeats=1).filter((F.size("removed") == 0) | (F.col("clean_text").rlike(r"[^\x20\x09-\x0D]")))
+    return out.select(*[F.col("clean_text").alias("text") if c == "text" else F.length("clean_text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(own.get(c, c)).alias(c) for c in docs.columns])
 
 
 ORACLE_SQL = f"""

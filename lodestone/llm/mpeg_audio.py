@@ -65,13 +65,54 @@ def side_bytes(version: int, channels: int) -> int:
     return (17 if channels == 1 else 32) if version == 3 else (9 if channels == 1 else 17)
 
 
+def crc_of_bits(data: bytes, at: int, bits: int, crc: int) -> int:
+    for i in range(bits):
+        top = crc >> 15 ^ data[at + (i >> 3)] >> 7 - (i & 7) & 1
+        crc = (crc << 1 & 0xFFFF) ^ (0x8005 if top else 0)
+    return crc
+
+
+def layer2_widths(version: int, kbit: int, hertz: int, channels: int) -> list[int]:
+    """Bits of allocation by subband: fixed values of ISO/IEC 11172-3 tables B.2a to B.2d and 13818-3 table B.1."""
+    if version != 3:
+        return [4] * 4 + [3] * 7 + [2] * 19
+    each = kbit // channels
+    if each in (32, 48):
+        return [4, 4] + [3] * (10 if hertz == 32000 else 6)
+    return [4] * 11 + [3] * 12 + [2] * (4 if hertz == 48000 or each in (56, 64, 80) else 7)
+
+
+def guarded_bits(data: bytes, at: int, h: tuple) -> int:
+    """How many bits after the checksum it covers: side information in layer III, allocation in I, that and the scale factors' selection in II."""
+    version, layer, kbit, hertz, channels, *_ = h
+    if layer == 3:
+        return 8 * side_bytes(version, channels)
+    mode, bound = data[at + 3] >> 6, 4 * ((data[at + 3] >> 4 & 3) + 1)
+    if layer == 1:
+        return 4 * 32 if channels == 1 else 4 * (bound + 32) if mode == 1 else 8 * 32
+    widths, pos, used = layer2_widths(version, kbit, hertz, channels), 8 * (at + 6), 0
+    for band, width in enumerate(widths):
+        own = 1 if channels == 1 or mode == 1 and band >= bound else 2
+        for _ in range(own):
+            if (pos + width + 7) >> 3 > len(data):
+                return 8 * len(data)
+            value = int.from_bytes(data[pos >> 3 : (pos >> 3) + 2].ljust(2, b"\0"), "big") >> 16 - width - (pos & 7) & (1 << width) - 1
+            used += (channels if own == 1 else 1) if value else 0
+            pos += width
+    return pos - 8 * (at + 6) + 2 * used
+
+
 def checksum(data: bytes, at: int, h: tuple) -> bool | None:
-    """Whether a protected layer III frame's checksum holds; None without one, or where its extent depends on allocation."""
-    version, layer, _, _, channels, protected, *_ = h
-    if not protected or layer != 3:
+    """Whether a protected frame's checksum holds; None without one. Bits missing at the stream's end make it bad."""
+    if not h[5]:
         return None
-    end = at + 6 + side_bytes(version, channels)
-    return len(data) >= end and crc16(data[at + 2 : at + 4] + data[at + 6 : end]) == struct.unpack_from(">H", data, at + 4)[0]
+    bits = guarded_bits(data, at, h)
+    if at + 6 + (bits + 7) // 8 > len(data):
+        return False
+    want = struct.unpack_from(">H", data, at + 4)[0]
+    if bits % 8 == 0:
+        return crc16(data[at + 2 : at + 4] + data[at + 6 : at + 6 + bits // 8]) == want
+    return crc_of_bits(data, at + 6, bits, crc16(data[at + 2 : at + 4])) == want
 
 
 def id3(data: bytes) -> tuple[int, dict[str, str]]:
@@ -81,34 +122,36 @@ def id3(data: bytes) -> tuple[int, dict[str, str]]:
         major = data[at + 3]
         size = sum((b & 127) << 7 * (3 - i) for i, b in enumerate(data[at + 6 : at + 10]))
         pos, end = at + 10, min(at + 10 + size, len(data))
-        while pos + 10 <= end and data[pos : pos + 1].isalnum():
-            name = data[pos : pos + 4].decode("latin-1")
-            n = struct.unpack_from(">I", data, pos + 4)[0] if major < 4 else sum((b & 127) << 7 * (3 - i) for i, b in enumerate(data[pos + 4 : pos + 8]))
-            body = data[pos + 10 : min(pos + 10 + n, end)]
+        head, letters = (6, 3) if major == 2 else (10, 4)  # version 2.2 has short frame heads
+        while pos + head <= end and data[pos : pos + 1].isalnum():
+            name = data[pos : pos + letters].decode("latin-1")
+            n = int.from_bytes(data[pos + 3 : pos + 6], "big") if major == 2 else struct.unpack_from(">I", data, pos + 4)[0] if major < 4 else sum((b & 127) << 7 * (3 - i) for i, b in enumerate(data[pos + 4 : pos + 8]))
+            body = data[pos + head : min(pos + head + n, end)]
             if name.startswith("T") and body:
                 text = body[1:].decode({1: "utf-16", 2: "utf-16-be", 3: "utf-8"}.get(body[0], "latin-1"), "replace")
-                k, _, v = text.partition("\0") if name == "TXXX" else (name, "", text)
+                k, _, v = text.partition("\0") if name in ("TXXX", "TXX") else (name, "", text)
                 tags[k] = v.rstrip("\0")
-            pos += 10 + n
-        at = at + 10 + size + (10 if data[at + 5] & 16 else 0)
+            pos += head + n
+        at = min(at + 10 + size + (10 if data[at + 5] & 16 else 0), len(data))
     return at, tags
 
 
 def vbr_table(data: bytes, at: int, h: tuple) -> dict | None:
-    """The Xing, Info or VBRI table in the frame at a place: kind, frames, bytes, toc."""
+    """The Xing, Info or VBRI table in the frame at a place: kind, frames, bytes, toc; what a short frame cuts off is None."""
+    end = min(len(data), at + h[6])
+    number = lambda pos: struct.unpack_from(">I", data, pos)[0] if pos + 4 <= end else None
     x = at + 4 + 2 * h[5] + side_bytes(h[0], h[4])
-    if data[x : x + 4] in (b"Xing", b"Info"):
-        flags, pos, out = struct.unpack_from(">I", data, x + 4)[0], x + 8, {"kind": data[x : x + 4].decode(), "frames": None, "bytes": None, "toc": None}
+    if x + 4 <= end and data[x : x + 4] in (b"Xing", b"Info"):
+        flags, pos, out = number(x + 4) or 0, x + 8, {"kind": data[x : x + 4].decode(), "frames": None, "bytes": None, "toc": None}
         for bit, name in ((1, "frames"), (2, "bytes")):
             if flags & bit:
-                out[name] = struct.unpack_from(">I", data, pos)[0]
+                out[name] = number(pos)
                 pos += 4
-        if flags & 4:
+        if flags & 4 and pos + 100 <= end:
             out["toc"] = list(data[pos : pos + 100])
         return out
-    if data[at + 36 : at + 40] == b"VBRI":
-        size, frames = struct.unpack_from(">II", data, at + 46)
-        return {"kind": "VBRI", "frames": frames, "bytes": size, "toc": None}
+    if at + 40 <= end and data[at + 36 : at + 40] == b"VBRI":
+        return {"kind": "VBRI", "frames": number(at + 50), "bytes": number(at + 46), "toc": None}
     return None
 
 
@@ -133,10 +176,10 @@ def frames(data: bytes, at: int = 0) -> Iterator[tuple[int, tuple]]:
 
 
 def probe(data: bytes, seek_every: int = SEEK_EVERY) -> dict:
-    """What a stream holds. Duration is exact: samples over rate, without the table's frame; bytes that are no frame count as damaged."""
+    """What a stream holds. Duration is exact: each frame's samples over its own rate, without the table's frame; bytes that are no frame count as damaged. rate is the last frame's."""
     at, tags = id3(data)
     out = {"tags": tags, "vbr": None, "frames": 0, "samples": 0, "rate": None, "channels": None, "layer": None, "version": None, "crc_ok": 0, "crc_bad": 0, "seek": [], "damaged": 0, "kbits": set()}
-    end = at
+    end, by_rate = at, {}
     for i, (pos, h) in enumerate(frames(data, at)):
         out["damaged"] += pos - end
         end = pos + h[6]
@@ -150,10 +193,11 @@ def probe(data: bytes, seek_every: int = SEEK_EVERY) -> dict:
             out["seek"].append(pos)
         out["frames"] += 1
         out["samples"] += h[7]
+        by_rate[h[3]] = by_rate.get(h[3], 0) + h[7]
         out["kbits"].add(h[2])
         out["version"], out["layer"], out["rate"], out["channels"] = h[0], h[1], h[3], h[4]
     out["damaged"] += len(data) - end - (128 if data[-128:-125] == b"TAG" and len(data) - end >= 128 else 0)
-    out["duration"] = Fraction(out["samples"], out["rate"]) if out["rate"] else Fraction(0)
+    out["duration"] = sum((Fraction(n, rate) for rate, n in by_rate.items()), Fraction(0))
     return out
 
 

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -159,8 +160,12 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return x.astype(np.uint64).view(np.int64)
 
 
+def text_hash() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
 def keyed(docs: DataFrame, cells: np.ndarray, bound: int, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n, node, keys) of each row."""
+    """(doc_id, t, n, node, sig, keys) of each row; t is a hash of the text."""
     order = docs.sparkSession.sparkContext.broadcast(cells.astype(np.int32))  # SKETCH cells: 4 MB
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,10 +174,10 @@ def keyed(docs: DataFrame, cells: np.ndarray, bound: int, percent: int = PERCENT
             keys = [_signed(keys_of(s, order.value, bound, percent)) for s in sets]
             bounds = np.concatenate(([0], np.cumsum([len(k) for k in keys]))).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([node_of(s) for s in sets], pa.int64()), pa.array([signature(s).tobytes() for s in sets], pa.binary()), lists], ["doc_id", "n", "node", "sig", "keys"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array([len(s) for s in sets], pa.int64()), pa.array([node_of(s) for s in sets], pa.int64()), pa.array([signature(s).tobytes() for s in sets], pa.binary()), lists], ["doc_id", "t", "n", "node", "sig", "keys"])
         trimmed_heap()
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n long, node long, sig binary, keys array<long>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_hash().alias("t")).mapInArrow(run, "doc_id long, t long, n long, node long, sig binary, keys array<long>")
 
 
 def _runs(batches: Iterator[pa.RecordBatch], most: int = RUN_ROWS) -> Iterator[pa.RecordBatch]:
@@ -299,13 +304,8 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataF
     return both.mapInArrow(run, "a long, b long")
 
 
-def classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """docs (doc_id, text, ...) as (doc_id, n_shingles, component_id): a row for each row of docs.
-
-    component_id is the smallest doc_id that links reach, its own included. Null or empty text: no shingles, its own
-    doc_id. A null doc_id takes part; its class is named by the smallest other id, or null. Repeated rows and equal ids
-    give a row each. Other columns are ignored. An empty table gives no rows.
-    """
+def labelled(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """Written rows (doc_id, t, n, node, sig), one for each of docs, and (node, root): nodes that links join have one root. Nodes without links may be absent."""
     spark = docs.sparkSession
     small_batches(spark)
     cells, sizes, heavy = sketch(docs)
@@ -347,6 +347,17 @@ def classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
             old, labels = labels, written(nodes.join(components(links), "node", "left").select("node", F.coalesce("root", "node").alias("root")), "labels")
             dropped(old)
     dropped(lists, signed)
+    return rows, labels
+
+
+def classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """docs (doc_id, text, ...) as (doc_id, n_shingles, component_id): a row for each row of docs.
+
+    component_id is the smallest doc_id that links reach, its own included. Null or empty text: no shingles, its own
+    doc_id. A null doc_id takes part; its class is named by the smallest other id, or null. Repeated rows and equal ids
+    give a row each. Other columns are ignored. An empty table gives no rows. Ids that are no whole numbers raise.
+    """
+    rows, labels = labelled(docs, percent)
     least = rows.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
     named = least.join(labels, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "least")
     final = named.join(named.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("node", "component_id")
@@ -359,9 +370,23 @@ def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each class the document with the smallest doc_id stays; documents without words stay as they are."""
-    keep = classes(docs.select("doc_id", "text")).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return docs.join(keep, docs["doc_id"].eqNullSafe(keep["doc_id"]), "left_semi").select(docs.columns)
+    """Pipeline stage: of each class one row stays, that with the smallest doc_id; of rows with one id, that with the smallest hash of its text.
+
+    Null ids come last, so such a row stays only where its class has no other. Of rows with equal id and text one stays.
+    Rows without words all stay. Columns of any name are kept as they are; an empty table stays empty.
+    """
+    rows, labels = labelled(docs.select("doc_id", "text"))
+    full = rows.filter("n > 0").join(labels, "node", "left").select(F.coalesce("root", "node").alias("root"), "doc_id", "t")
+    first = full.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t")).alias("x"))
+    keep = written(first.select(F.col("x.doc_id").alias("d"), F.col("x.t").alias("t")).unionByName(rows.filter("n = 0").select(F.col("doc_id").alias("d"), "t")).distinct(), "kept")
+    keys = [f"{name}_{uuid.uuid4().hex}" for name in ("d", "t")]  # no column of docs bears them
+    same = F.col(keys[0]).eqNullSafe(keep["d"]) & (F.col(keys[1]) == keep["t"])
+    left = docs.withColumns({keys[0]: F.col("doc_id").cast("long"), keys[1]: text_hash()}).join(keep, same, "left_semi")
+    repeated = rows.filter("n > 0").groupBy("doc_id", "t").count().filter("count > 1").select(F.col("doc_id").alias("d"), "t").join(keep.withColumnsRenamed({"d": "kd", "t": "kt"}), F.col("d").eqNullSafe(F.col("kd")) & (F.col("t") == F.col("kt")), "left_semi")
+    if not repeated.isEmpty():  # else each kept pair of id and text has one row, and nothing needs a shuffle
+        words = F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+        left = left.filter(words).dropDuplicates(keys).unionByName(left.filter(~words))
+    return left.select(docs.columns)
 
 
 _SETS = r"""

@@ -8,8 +8,9 @@ task packs its rows as before.
 
 from __future__ import annotations
 
+import json
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -28,16 +29,29 @@ OUT = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, se
 
 
 @lru_cache(maxsize=2)
-def encoder(ranks_file: str):
-    """byte_bpe_50k's encoder: the ranks file holds the same vocabulary as the tokenizers file, and gives the same ids several times faster."""
+def encoder(ranks_file: str, whole_file: str = "byte_bpe_50k.json") -> Callable[[str], list[int]]:
+    """The ids that tokenizers gives with whole_file and without adding special tokens.
+
+    The ranks file holds the same vocabulary, and tiktoken gives the same ids several times faster. It knows nothing of
+    the tokens that whole_file adds to it, so texts that hold one of their strings go to tokenizers.
+    """
     import base64
 
     import public_tokenizers
     import tiktoken
+    from tokenizers import Tokenizer
 
     with open(public_tokenizers.path(ranks_file), "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
-    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    fast = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    with open(public_tokenizers.path(whole_file)) as f:
+        added = [x["content"] for x in json.load(f)["added_tokens"]]
+    whole = Tokenizer.from_file(public_tokenizers.path(whole_file))
+
+    def encode(text: str) -> list[int]:
+        return whole.encode(text, add_special_tokens=False).ids if any(x in text for x in added) else fast(text)
+
+    return encode
 
 
 class Bm25:
@@ -124,7 +138,7 @@ def pack(docs: DataFrame, window: int = WINDOW, shard_docs: int = SHARD_DOCS, sh
     names = [x.split()[0] for x in OUT.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(ranks_file).encode_ordinary
+        encode = encoder(ranks_file)
         part, made = TaskContext.get().partitionId(), 0
 
         def shard(keys: list, texts: list[str]) -> pa.RecordBatch:
@@ -140,12 +154,12 @@ def pack(docs: DataFrame, window: int = WINDOW, shard_docs: int = SHARD_DOCS, sh
         for batch in batches:
             for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 t = t or ""
-                if keys and (len(keys) >= shard_docs or held + len(t) > shard_bytes):
+                if keys and (len(keys) >= shard_docs or held + len(t.encode()) > shard_bytes):
                     yield shard(keys, texts)
                     keys, texts, held = [], [], 0
                 keys.append(k)
                 texts.append(t)
-                held += len(t)
+                held += len(t.encode())
         if keys:
             yield shard(keys, texts)
 

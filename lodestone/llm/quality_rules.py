@@ -6,6 +6,8 @@ lines common. Texts meet common lines by rows of (host, line), so a host may hav
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -118,9 +120,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: rejected documents go; the others lose their common lines."""
-    out = apply_rules(docs).filter("kept")
-    return out.select(*[F.col("clean_text").alias("text") if c == "text" else F.length("clean_text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
+    """Pipeline stage: rejected rows go; the others lose their common lines, and n_chars follows. Null texts go, as they have no words; columns of any name are kept; an empty table stays empty."""
+    own = {c: f"{c}_{uuid.uuid4().hex}" for c in docs.columns if c not in ("text", "source")}
+    out = apply_rules(docs.withColumnsRenamed(own)).filter("kept")
+    return out.select(*[F.col("clean_text").alias("text") if c == "text" else F.length("clean_text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(own.get(c, c)).alias(c) for c in docs.columns])
 
 
 _W = r"[\x20\x09-\x0D]+"

@@ -9,6 +9,7 @@ randomness becomes a p-value under "this is text", and the Benjamini-Hochberg ru
 from __future__ import annotations
 
 import math
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -175,9 +176,12 @@ def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: every document stays, its secrets replaced by a mark."""
-    found = scan(docs.drop(*KINDS)).withColumn("_text", redacted(F.col("text"), F.concat(*KINDS)))
-    return found.select(*[F.col("_text").alias("text") if c == "text" else F.length("_text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns if c not in KINDS])
+    """Pipeline stage: every row stays, its secrets replaced by a mark, and n_chars follows. Null texts stay null; columns of any name are kept; an empty table stays empty."""
+    own = {c: f"{c}_{uuid.uuid4().hex}" for c in docs.columns if c != "text"}
+    found = scan(docs.withColumnsRenamed(own))
+    text = redacted(F.col("text"), F.concat(*KINDS))
+    out = found.withColumn("text", text)
+    return out.select(*["text" if c == "text" else F.length("text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(own[c]).alias(c) for c in docs.columns])
 
 
 QUERIES = {"op8_secret_scans": op8_secret_scans}

@@ -31,7 +31,7 @@ from lodestone.llm.common import hash_spans, let, open_in, ragged, scratch, smal
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
-SHARD_CHARS = 8 << 20
+SHARD_CHARS = 4 << 20
 LEAST_SHARDS = 16
 #: Words whose hashes a task remembers, so as to hand each on once; 8 bytes each.
 SEEN = 4_000_000
@@ -81,15 +81,21 @@ def lattice(words: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
 
 
 def coded_edges(words: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
-    """words (shard, h, word) of at most LONG_WORD characters with the edges over two characters and more.
+    """words (shard, h, word) with the edges over two characters and more; those of over LONG_WORD characters get none.
 
     An edge is a bigint: the piece's place by falling score, its id (16 bits), start and end (6 bits each); sorted, the
-    one to merge first comes first. Words without such an edge have the edge -1.
+    one to merge first comes first. Every word has the edge -1, too. A start's substrings are as long as the longest
+    piece with the same two first characters.
     """
-    starts = words.select("shard", "h", "word", F.length("word").alias("m"), F.explode(F.sequence(F.lit(0), F.greatest(F.length("word") - 2, F.lit(0)))).alias("s"))
-    subs = starts.select("*", F.explode(F.sequence(F.when(F.col("s") == 0, 1).otherwise(2), F.greatest(F.least(F.lit(longest), F.col("m") - F.col("s")), F.lit(1)))).alias("n"))
+    many = F.broadcast(pieces.filter(F.length("piece") > 1))
+    reach = many.groupBy(F.substring("piece", 1, 2).alias("two")).agg(F.max(F.length("piece")).alias("most"))
+    m = F.length("word")
+    starts = words.select("shard", "h", "word", m.alias("m"), F.explode(F.sequence(F.lit(0), F.when(m <= LONG_WORD, F.greatest(m - 2, F.lit(0))).otherwise(0))).alias("s"))
+    starts = starts.withColumn("two", F.substring(F.col("word"), F.col("s") + 1, F.lit(2))).join(F.broadcast(reach), "two", "left").filter((F.col("s") == 0) | F.col("most").isNotNull())
+    most = F.when(F.col("m") <= LONG_WORD, F.greatest(F.least(F.least("most", F.lit(longest)), F.col("m") - F.col("s")), F.lit(1))).otherwise(1)
+    subs = starts.select("*", F.explode(F.sequence(F.when(F.col("s") == 0, 1).otherwise(2), F.coalesce(most, F.lit(1)))).alias("n"))
     subs = subs.select("shard", "h", "word", "s", "n", F.substring(F.col("word"), F.col("s") + 1, F.col("n")).alias("piece"))
-    met = subs.join(F.broadcast(pieces.filter(F.length("piece") > 1).select("piece", "code")), "piece", "left").filter(F.col("code").isNotNull() | (F.col("n") == 1))
+    met = subs.join(many.select("piece", "code"), "piece", "left").filter(F.col("code").isNotNull() | (F.col("n") == 1))
     edge = F.when(F.col("code").isNull(), F.lit(-1).cast("long")).otherwise(F.expr("code | shiftleft(cast(s as bigint), 6) | (s + n)"))
     return met.groupBy("shard", "h", "word").agg(F.array_sort(F.collect_list(edge)).alias("edges"))
 
@@ -112,7 +118,7 @@ def merged_cuts(edges: Column, n: Column) -> Column:
 
 
 def merged_pieces(words: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
-    """(shard, h, word, cuts, chosen) of words (shard, h, word): the cuts' bits, and start << 16 | id of the pieces of two characters and more."""
+    """(shard, h, word, cuts, chosen) of words (shard, h, word): the cuts' bits, and start << 16 | id of the pieces of two characters and more; no cuts for words of over LONG_WORD characters."""
     got = coded_edges(words, pieces, longest)
     bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), x.cast("int"))
     s, e = lambda x: F.shiftright(x, 6).bitwiseAND(F.lit(63)), lambda x: x.bitwiseAND(F.lit(63))
@@ -127,7 +133,7 @@ def merged_pieces(words: DataFrame, pieces: DataFrame, longest: int) -> DataFram
         return let(merged_cuts(edges, n), of)
 
     many = F.transform(F.filter("edges", lambda x: x >= 0), as_bits)
-    return got.select("shard", "h", "word", let(many, body).alias("x")).select("shard", "h", "word", "x.cuts", "x.chosen")
+    return got.select("shard", "h", "word", F.when(n <= LONG_WORD, let(many, body)).alias("x")).select("shard", "h", "word", "x.cuts", "x.chosen")
 
 
 def viterbi_cuts(edges: Column, n: Column, unknown: float = -100.0) -> Column:
@@ -266,12 +272,14 @@ def dictionary(docs: DataFrame, text: str = "text", model: str = MODEL) -> str:
             if not batch.num_rows:
                 continue
             shard, h, words = batch.column(0).to_numpy(), batch.column(1).to_numpy().view(np.uint64), batch.column(2).to_pylist()
-            if batch.column(3).null_count:  # long words
+            long = batch.column(3).is_null().to_numpy(zero_copy_only=False)
+            ids, sizes = word_ids([w for w, x in zip(words, long, strict=True) if not x], batch.column(3).drop_null().to_numpy(), batch.column(4).filter(pa.array(~long)), letters)
+            if long.any():
                 names = names or {p: (i, x) for p, i, x in ordinary(model)}
-                rows = [[y for i, c in heap_ids(w, names) for y in ([i] if i is not None else [3 + x for x in c.encode()])] for w in words]
-                ids, sizes = np.concatenate([np.array(r, "<u2") for r in rows]), np.array([len(r) for r in rows], np.int64)
-            else:
-                ids, sizes = word_ids(words, batch.column(3).to_numpy(), batch.column(4), letters)
+                rows = [[y for i, c in heap_ids(w, names) for y in ([i] if i is not None else [3 + x for x in c.encode()])] for w, x in zip(words, long, strict=True) if x]
+                ids, sizes = np.concatenate([ids, *(np.array(r, "<u2") for r in rows)]), np.concatenate([sizes, [len(r) for r in rows]])
+                order = np.concatenate((np.flatnonzero(~long), np.flatnonzero(long)))
+                shard, h = shard[order], h[order]
             begin = np.cumsum(sizes) - sizes
             for s in np.unique(shard):
                 sel = np.flatnonzero(shard == s)
@@ -288,14 +296,14 @@ def dictionary(docs: DataFrame, text: str = "text", model: str = MODEL) -> str:
         trimmed_heap()
         yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in lines], k) for i, k in enumerate((pa.int32(), pa.string(), pa.int64()))], ["shard", "uri", "n"])
 
-    words = docs.select(text).mapInArrow(distinct, "shard int, h long, word string").repartition(shards, "shard").dropDuplicates(["shard", "h"])
-    short = merged_pieces(words.filter(F.length("word") <= LONG_WORD), pieces, longest).mapInArrow(write, "shard int, uri string, n long")
-    others = words.filter(F.length("word") > LONG_WORD).select("shard", "h", "word", F.lit(None).cast("long").alias("cuts"), F.array().cast("array<long>").alias("chosen")).mapInArrow(write, "shard int, uri string, n long")
+    # the words are keys, so their grouping hashes and needs no sort
+    words = docs.select(text).mapInArrow(distinct, "shard int, h long, word string").repartition(shards, "shard").distinct()
+    coded = merged_pieces(words, pieces, longest).mapInArrow(write, "shard int, uri string, n long")
     before = spark.conf.get(GROUPS, None)
     spark.conf.set(GROUPS, str(HELD_GROUPS))
     try:
         with tidy(spark), wide_batches(spark, 8192):
-            files = [r.asDict() for r in short.unionByName(others).collect()]
+            files = [r.asDict() for r in coded.collect()]
     finally:
         spark.conf.unset(GROUPS) if before is None else spark.conf.set(GROUPS, before)
     store_put(f"{folder}/files.json", json.dumps({"shards": shards, "files": files}).encode())

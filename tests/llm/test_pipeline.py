@@ -112,7 +112,7 @@ def test_stages(spark, docs):
 def test_run(spark, docs, tmp_path):
     spark.createDataFrame(docs, SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
     want = secrets(near_duplicates(lines(quality(docs))))
-    encode = packing.encoder("byte_bpe_50k.tiktoken").encode_ordinary
+    encode = packing.encoder("byte_bpe_50k.tiktoken")
     got = defaultdict(list)
     for x in corpus_pipeline.run(spark, str(tmp_path)).collect():
         got[x["doc_id"]].append((x["start"], x["length"], x["doc_tokens"]))
