@@ -6,6 +6,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Words that name a print's language; none means English.
+MARKERS = ["japanese", "japan", "chinese", "korean", "german", "french", "italian", "spanish", "portuguese", "dutch", "russian", "polish", "thai", "indonesian"]
+
+
 def norm(c: Column) -> Column:
     """Lower case; every run of other characters than a-z and 0-9 is one space; trimmed."""
     return F.trim(F.regexp_replace(F.lower(c), r"[^a-z0-9]+", " "))
@@ -41,10 +45,16 @@ def language(c: Column, markers: list[str], default: str = "english") -> Column:
 
 
 def corroborates(a: Column, b: Column) -> Column:
-    """Whether a token of either text lies in the other; false where a side is empty."""
+    """Whether a token of either text, of three characters or more, lies in the other; false where a side is empty."""
     na, nb = norm(a), norm(b)
     full = (na != "") & (nb != "")
-    return F.coalesce(full & (F.exists(F.split(na, " "), lambda x: F.contains(nb, x)) | F.exists(F.split(nb, " "), lambda x: F.contains(na, x))), F.lit(False))
+    within = lambda x, y: F.exists(F.split(x, " "), lambda k: (F.length(k) >= 3) & F.contains(y, k))
+    return F.coalesce(full & (within(na, nb) | within(nb, na)), F.lit(False))
+
+
+def trigrams(c: Column) -> Column:
+    """The distinct substrings of three characters; of a shorter text, itself."""
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - 2, F.lit(1))), lambda i: F.substring(c, i, F.lit(3))))
 
 
 def barcode(c: Column) -> Column:

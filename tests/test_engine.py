@@ -61,11 +61,17 @@ def test_merge_policies(spark):
 
 
 def test_ladder(spark):
-    candidates = spark.createDataFrame([(7, "12345", "Charizard ex", "125"), (8, "1", "Pikachu", "058/102"), (20, "55555", "Booster Box", ""), (21, "9", "Elite Trainer Box", ""), (22, "10", "Trainer Box", "")], "id long, ext_id string, name string, number string")
-    rows = spark.createDataFrame([(1, "Charizard ex #125", "12345"), (2, "Pikachu #58", ""), (3, "Mewtwo #10", ""), (4, "Sealed Booster Box", ""), (5, "Elite Trainer Box", ""), (6, "Old", None)], "row_id long, name string, ext_id string")
-    stamped = spark.createDataFrame([(6, 99)], "row_id long, id long")
-    got = {r["row_id"]: (r["id"], r["method"]) for r in matching.ladder(rows, stamped, candidates).collect()}
-    assert got == {1: (7, "tcg-id"), 2: (8, "fuzzy"), 3: (None, None), 4: (20, "numberless"), 5: (None, None), 6: (99, "stamped")}
+    cards = [(7, "12345", "Charizard ex", "125", "Scarlet 151"), (8, "1", "Pikachu", "058/102", "Base Set"), (9, "2", "Gengar", "307", "Gem Pack"), (20, "55555", "DON Card (Dodgers 2026 Promo)", "", "Promotion Cards"), (21, "9", "Trainer Card", "", "Base Set"), (22, "10", "Trainer Card", None, "Base Set")]
+    candidates = spark.createDataFrame([(*x, "card") for x in cards], "id long, ext_id string, name string, number string, set_name string, kind string")
+    rows = [
+        (1, "Charizard ex #125", "Monsters 151", "12345", False), (2, "Pikachu #58", "Monsters Base Set", "", False), (3, "Mewtwo #10", "Base Set", "", False), (4, "DON Card Dodgers", "One Promo", "0", False),
+        (5, "Trainer Card", "Base Set", "x", False), (6, "Old", None, None, False), (7, "Gengar #307", "Monsters Chinese Gem Pack", "", False), (8, "Gengar #307", "", "", False), (9, "Gengar #307", "Base Set", "", False),
+        (10, "DON Card Dodgers", "Promo", "", True), (11, "", "", "", False), (12, "Charizard ex #125", "Scarlet 151", "99999", False), (13, "Blastoise", "Scarlet 151", "12345", False),
+    ]
+    stamped = spark.createDataFrame([(6, 99), (5, None)], "row_id long, id long")
+    got = {r["row_id"]: (r["id"], r["method"], r["rung"]) for r in matching.ladder(spark.createDataFrame(rows, "row_id long, name string, console string, ext_id string, sealed boolean"), stamped, candidates).collect()}
+    none = (None, None, None)
+    assert got == {1: (7, "tcg-id", "tcg-id"), 2: (8, "fuzzy", "fuzzy"), 3: none, 4: (20, "numberless", "numberless"), 5: none, 6: (99, None, "stamped"), 7: none, 8: none, 9: none, 10: none, 11: none, 12: (7, "fuzzy", "fuzzy"), 13: none}
 
 
 def test_validation(spark):
@@ -98,7 +104,7 @@ def test_drain(spark, tmp_path):
         rows.filter(f"seq % 2 = {i}").coalesce(1).write.parquet(str(tmp_path / "in" / str(i)))
     stream = spark.readStream.schema(rows.schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
     drain.drain(spark, stream, str(tmp_path / "state"), ["k"], {"x": "new_if_set"}, "seq", str(tmp_path / "cp"))
-    assert {tuple(r) for r in drain.latest(spark, str(tmp_path / "state"), 1).collect()} == {("u", 5.0), ("v", 1.0)}
+    assert {tuple(r) for r in drain.latest(spark, str(tmp_path / "state")).collect()} == {("u", 5.0), ("v", 1.0)}
 
 
 @pytest.mark.parametrize("name", sorted(catalog.queries()))
