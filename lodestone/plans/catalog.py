@@ -37,7 +37,7 @@ JOIN region ON n_regionkey = r_regionkey WHERE r_name IN ('ASIA', 'EUROPE') GROU
 def star_join_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines, orders, customers = (t(spark, sf_dir, x) for x in ("lineitem", "orders", "customer"))
     nations = t(spark, sf_dir, "nation").join(t(spark, sf_dir, "region").filter(F.col("r_name").isin("ASIA", "EUROPE")), F.col("n_regionkey") == F.col("r_regionkey"))
-    kept = customers.join(F.broadcast(nations), F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "c_mktsegment", "n_name", "r_name")
+    kept = customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "c_mktsegment", "n_name", "r_name")
     joined = lines.select("l_orderkey", "l_extendedprice").join(orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey")).join(kept, F.col("o_custkey") == F.col("c_custkey"))
     cents = F.floor(F.col("l_extendedprice") * 100 + 0.5).cast("long")
     return joined.groupBy("r_name", "n_name", "c_mktsegment").agg(F.count("*").alias("n_lines"), F.sum(cents).alias("cents"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodestone.functions import money, text
@@ -11,6 +11,11 @@ from lodestone.operators.merge import merge
 from lodestone.plans.catalog import register, t
 
 
+def newest(events: DataFrame) -> Column:
+    """The latest time as a literal, so that filters by it reach the scan."""
+    return F.lit(events.agg(F.max("ts").cast("string")).first()[0]).cast("timestamp_ntz")
+
+
 @register("orphan_filter_semi", "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')")
 def orphan_filter_semi(s: SparkSession, d: str) -> DataFrame:
     returned = t(s, d, "lineitem").filter("l_returnflag = 'R'").select("l_orderkey")
@@ -30,8 +35,7 @@ AND f.ts > (SELECT max(ts) FROM events) - INTERVAL 7 DAY)""",
 )
 def not_exists_fresh(s: SparkSession, d: str) -> DataFrame:
     e = t(s, d, "events").select("user_id", "event_type", "ts")
-    newest = e.agg(F.max("ts").alias("newest"))
-    fresh = e.join(F.broadcast(newest), F.expr("ts > newest - interval 7 days")).select("user_id", "event_type")
+    fresh = e.filter(F.col("ts") > newest(e) - F.expr("interval 7 days")).select("user_id", "event_type")
     return e.select("user_id", "event_type").distinct().join(fresh, ["user_id", "event_type"], "left_anti")
 
 
@@ -39,7 +43,7 @@ def not_exists_fresh(s: SparkSession, d: str) -> DataFrame:
 def watched_distinct(s: SparkSession, d: str) -> DataFrame:
     urgent = t(s, d, "orders").filter("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("c_custkey"))
     who = t(s, d, "customer").join(urgent, "c_custkey", "left_semi").select("c_nationkey", "c_mktsegment").distinct()
-    return who.join(F.broadcast(t(s, d, "nation")), F.col("c_nationkey") == F.col("n_nationkey")).select("n_name", "c_mktsegment").distinct()
+    return who.join(t(s, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).select("n_name", "c_mktsegment").distinct()
 
 
 @register("fk_scalar_lookup", "SELECT o_orderkey, (SELECT c_custkey FROM customer WHERE c_custkey = o_custkey AND c_acctbal > 0) AS customer FROM orders")
@@ -78,7 +82,7 @@ def first_term_category(s: SparkSession, d: str) -> DataFrame:
 )
 def multi_variant_audit(s: SparkSession, d: str) -> DataFrame:
     many = t(s, d, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.count("*").alias("n")).filter("n > 2")
-    return many.crossJoin(F.broadcast(many.agg(F.sum("n").alias("total"))))
+    return many.withColumn("total", F.lit(many.agg(F.sum("n")).first()[0]).cast("long"))
 
 
 @register("newest_per_group", "SELECT o_custkey, max(o_orderdate) AS newest FROM orders GROUP BY o_custkey")
@@ -102,8 +106,7 @@ def coverage_ratio(s: SparkSession, d: str) -> DataFrame:
 )
 def month_credit_sum(s: SparkSession, d: str) -> DataFrame:
     e = t(s, d, "events")
-    month = e.agg(F.date_trunc("month", F.max("ts")).alias("month"))
-    return e.filter("event_type <> 'error'").join(F.broadcast(month), F.date_trunc("month", "ts") == F.col("month")).groupBy("event_type").agg(F.sum(money.cents(F.col("value"))).alias("cents"))
+    return e.filter("event_type <> 'error'").filter(F.col("ts") >= F.date_trunc("month", newest(e))).groupBy("event_type").agg(F.sum(money.cents(F.col("value"))).alias("cents"))
 
 
 @register("id_range", "SELECT p_brand, min(p_partkey) AS lo, max(p_partkey) AS hi FROM part GROUP BY p_brand")
@@ -259,7 +262,7 @@ count(*) FILTER (WHERE n_name <> 'JAPAN' AND n_regionkey = 3) AS skipped FROM cu
 )
 def currency_gate(s: SparkSession, d: str) -> DataFrame:
     code = F.when(F.col("n_name") == "JAPAN", "JPY").when(F.col("n_regionkey") == 3, "EUR").otherwise("")
-    x = t(s, d, "customer").join(F.broadcast(t(s, d, "nation")), F.col("c_nationkey") == F.col("n_nationkey")).withColumn("f", money.currency_factor(code, F.lit(150.0)))
+    x = t(s, d, "customer").join(t(s, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).withColumn("f", money.currency_factor(code, F.lit(150.0)))
     c = F.floor(F.col("c_acctbal") * F.col("f.factor") * 100 + 0.5).cast("long")
     return x.groupBy("n_name").agg(F.count("*").alias("n"), F.sum(c).alias("cents"), F.count_if(F.col("f.reason") == "unsupported").alias("skipped"))
 
@@ -278,8 +281,8 @@ SELECT user_id, attempts, attempts < 5 AND now - last >= 7200 * (1::bigint << le
 def backoff_due(s: SparkSession, d: str) -> DataFrame:
     e = t(s, d, "events").withColumn("sec", F.unix_timestamp(F.col("ts").cast("timestamp")))
     w = e.groupBy("user_id").agg(F.count_if(F.col("event_type") == "error").alias("attempts"), F.max("sec").alias("last"))
-    now = e.agg(F.max("sec").alias("now"))
-    return w.crossJoin(F.broadcast(now)).select("user_id", "attempts", money.backoff_due(F.lit("error"), F.col("attempts"), F.col("last"), F.col("now")).alias("due"))
+    now = F.lit(e.agg(F.max("sec")).first()[0]).cast("long")
+    return w.select("user_id", "attempts", money.backoff_due(F.lit("error"), F.col("attempts"), F.col("last"), now).alias("due"))
 
 
 @register(
@@ -299,7 +302,7 @@ def upsert_fold(s: SparkSession, d: str) -> DataFrame:
 @register("retention_window", "SELECT event_id, user_id FROM events WHERE ts > (SELECT max(ts) FROM events) - INTERVAL 14 DAY")
 def retention_window(s: SparkSession, d: str) -> DataFrame:
     e = t(s, d, "events").select("event_id", "user_id", "ts")
-    return e.join(F.broadcast(e.agg(F.max("ts").alias("newest"))), F.expr("ts > newest - interval 14 days")).select("event_id", "user_id")
+    return e.filter(F.col("ts") > newest(e) - F.expr("interval 14 days")).select("event_id", "user_id")
 
 
 @register(
