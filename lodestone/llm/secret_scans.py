@@ -30,6 +30,8 @@ TEXT_MATCH = 0.066
 NUMBER_EXCESS = 1.5
 #: Most capitals, as a share of letters, that words joined as camelCase have.
 MOST_CAPITALS = 0.25
+#: Combined p-value of the runs and the serial test below which a token isn't random.
+NOT_RANDOM = 0.003
 #: Logarithmic bins of p-values, ten a decade.
 BINS = 400
 
@@ -69,8 +71,9 @@ def battery(token: Column) -> Column:
     k * TEXT_MATCH - 1 in text; encodings with digits get NUMBER_EXCESS at least. Letters alone have alphabets of 26
     or 52. In camelCase a share u of the letters is of the other case, and two letters agree (1 - u)^2 + u^2 times as often;
     tokens without digits are held against that, with u as found and MOST_CAPITALS at most. (chi-squared - (k - 1) - n * c) / sd is then about normal in
-    text and far below for random strings. Runs of one character class (as camelCase words have) and serial
-    correlation must look random too: their deviates, where beyond 3, forbid the finding.
+    text and far below for random strings. Runs about the mean and serial correlation are normal for random strings:
+    their two-sided p-values under "this is random" are combined by Fisher's method, and where that combination falls
+    below NOT_RANDOM the token isn't random, whatever its letters' counts.
     """
     kind = F.when(token.rlike(r"^[0-9]+$"), 10).when(token.rlike(r"^(?:[a-z]+|[A-Z]+)=*$"), 26).when(token.rlike(r"^[A-Za-z]+=*$"), 52).when(token.rlike(r"^(?:[0-9a-f]+|[0-9A-F]+)$"), 16).when(token.rlike(r"^[A-Z2-7]+=*$"), 32).when(token.rlike(r"^(?:[a-z0-9]+|[A-Z0-9]+)$"), 36).otherwise(64)
 
@@ -79,26 +82,34 @@ def battery(token: Column) -> Column:
         n = F.size(chars).cast("double")
         codes = F.transform(chars, lambda c: F.ascii(c).cast("double"))
 
-        def tests(x: Column) -> Column:
-            v = x["v"]
+        def deviates(x: Column) -> Column:
+            v, mean = x["v"], x["mean"]
             chi = F.aggregate(F.array_distinct(chars), F.lit(0.0), lambda a, c: a + F.pow(F.size(F.filter(chars, lambda d: d == c)).cast("double"), F.lit(2.0))) * k / n - n
-            mean = F.aggregate(v, F.lit(0.0), lambda a, y: a + y) / n
             var = F.aggregate(v, F.lit(0.0), lambda a, y: a + (y - mean) * (y - mean))
-            pairs = F.zip_with(F.slice(v, 1, F.size(v) - 1), F.slice(v, 2, F.size(v) - 1), lambda a, b: (a - mean) * (b - mean))
-            serial = F.when(var > 0, F.aggregate(pairs, F.lit(0.0), lambda a, y: a + y) / var).otherwise(1.0) * F.sqrt(n)
+            ahead, after = F.slice(v, 1, F.size(v) - 1), F.slice(v, 2, F.size(v) - 1)
+            pairs = F.aggregate(F.zip_with(ahead, after, lambda a, b: (a - mean) * (b - mean)), F.lit(0.0), lambda a, y: a + y)
             high = F.aggregate(v, F.lit(0.0), lambda a, y: a + F.when(y > mean, 1.0).otherwise(0.0))
-            turns = F.aggregate(F.zip_with(F.slice(v, 1, F.size(v) - 1), F.slice(v, 2, F.size(v) - 1), lambda a, b: F.when((a > mean) != (b > mean), 1.0).otherwise(0.0)), F.lit(0.0), lambda a, y: a + y) + 1
-            want = 2 * high * (n - high) / n + 1
-            sd = F.sqrt(F.greatest((want - 1) * (want - 2) / F.greatest(n - 1, F.lit(1.0)), F.lit(1e-9)))
-            runs = (turns - want) / sd
+            turns = F.aggregate(F.zip_with(ahead, after, lambda a, b: F.when((a > mean) != (b > mean), 1.0).otherwise(0.0)), F.lit(0.0), lambda a, y: a + y) + 1
             capitals = F.size(F.filter(chars, lambda d: d.between("A", "Z"))) / n
-            u = F.least(capitals, 1 - capitals, F.lit(MOST_CAPITALS))
-            no_digit = ~F.exists(chars, lambda d: d.between("0", "9"))
-            c = F.when(no_digit, k * TEXT_MATCH * ((1 - u) * (1 - u) + u * u) - 1).otherwise(F.greatest(k * TEXT_MATCH - 1, F.lit(NUMBER_EXCESS)))
-            z = ((k - 1) + n * c - chi) / F.sqrt(2 * (k - 1) + 4 * n * c)
-            return F.when((F.abs(serial) > 3) | (F.abs(runs) > 3), F.lit(1.0)).otherwise(_normal_tail(z))
+            digit = F.exists(chars, lambda d: d.between("0", "9"))
+            return F.struct(chi.alias("chi"), var.alias("var"), pairs.alias("pairs"), high.alias("high"), turns.alias("turns"), F.least(capitals, 1 - capitals, F.lit(MOST_CAPITALS)).alias("u"), digit.alias("digit"))
 
-        return let(F.struct(codes.alias("v")), tests)
+        def normal(y: Column) -> Column:
+            serial = F.when(y["var"] > 0, y["pairs"] / y["var"]).otherwise(1.0) * F.sqrt(n)
+            want = 2 * y["high"] * (n - y["high"]) / n + 1
+            sd = F.sqrt(F.greatest((want - 1) * (want - 2) / F.greatest(n - 1, F.lit(1.0)), F.lit(1e-9)))
+            u = y["u"]
+            c = F.when(~y["digit"], k * TEXT_MATCH * ((1 - u) * (1 - u) + u * u) - 1).otherwise(F.greatest(k * TEXT_MATCH - 1, F.lit(NUMBER_EXCESS)))
+            return F.struct(F.abs(serial).alias("serial"), F.abs((y["turns"] - want) / sd).alias("runs"), (((k - 1) + n * c - y["chi"]) / F.sqrt(2 * (k - 1) + 4 * n * c)).alias("z"))
+
+        def combined(d: Column) -> Column:
+            # minus the logarithm of both p-values' product; Fisher's statistic is twice that, chi-squared with 4 degrees of freedom
+            against = -F.log(F.greatest(2 * _normal_tail(d["serial"]), F.lit(1e-30))) - F.log(F.greatest(2 * _normal_tail(d["runs"]), F.lit(1e-30)))
+            return let(against, lambda a: F.when(F.exp(-a) * (1 + a) < NOT_RANDOM, F.lit(1.0)).otherwise(_normal_tail(d["z"])))
+
+        # each step's values are bound before the next reads them: an expression is evaluated once, not once a mention
+        centred = let(codes, lambda v: F.struct(v.alias("v"), (F.aggregate(v, F.lit(0.0), lambda a, y: a + y) / n).alias("mean")))
+        return let(let(let(centred, deviates), normal), combined)
 
     return F.when(F.length(F.rtrim(token, F.lit("="))) > 1, let(F.struct(F.filter(F.split(F.rtrim(token, F.lit("=")), ""), lambda c: c != "").alias("c"), kind.alias("k")), body)).otherwise(F.lit(1.0))
 

@@ -1,5 +1,7 @@
 """URL filters: pattern rules indexed by their rarest literal token; a URL's tokens fetch the few rules worth running.
 
+A rule of several literals is as many rules, so each of the list below has a token. Given rules without one run on every URL.
+
 Two kinds of rule share one index. A site rule (host, path) fits the host and its subdomains where the path starts with
 the rule's; of the fitting ones the longest decides. Where none fits, pattern rules decide: a block pattern that matches
 blocks unless an allow pattern matches too. Every rule becomes a regular expression over ``host + path`` (site rules) or
@@ -57,11 +59,12 @@ PATTERN_RULES = [
     pattern_rule("block", r"[/.-]xxx[/.-]", "xxx"),
     pattern_rule("block", r"/wp-login\.php(?:$|[?#])", "wp", "login", "php"),
     pattern_rule("block", r"/cgi-bin/", "cgi", "bin"),
-    pattern_rule("block", r"/(?:signin|sign-in)(?:$|[/?#])", ),
+    pattern_rule("block", r"/signin(?:$|[/?#])", "signin"),
+    pattern_rule("block", r"/sign-in(?:$|[/?#])", "sign", "in"),
     pattern_rule("block", r"/cart(?:$|[/?#])", "cart"),
     pattern_rule("block", r"/calendar/[0-9]{4}(?:$|[/?#-])", "calendar"),
-    pattern_rule("block", r"[?&](?:phpsessid|jsessionid|sid)=", ),
-    pattern_rule("block", r"\.(?:jpe?g|png|gif|zip|exe|mp[34])(?:$|[?#])", ),
+    *[pattern_rule("block", rf"[?&]{name}=", name) for name in ("phpsessid", "jsessionid", "sid")],
+    *[pattern_rule("block", rf"\.{end}(?:$|[?#])", end) for end in ("jpg", "jpeg", "png", "gif", "zip", "exe", "mp3", "mp4")],
     pattern_rule("block", r"[?&]page=[0-9]{3,}(?:$|[&#])", "page"),
     pattern_rule("block", r"/feed/?(?:$|[?#])", "feed"),
     pattern_rule("allow", r"^https?://(?:www\.)?example\.org/help/", "example", "org", "help"),
