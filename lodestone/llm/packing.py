@@ -154,12 +154,13 @@ def pack(docs: DataFrame, window: int = WINDOW, shard_docs: int = SHARD_DOCS, sh
         for batch in batches:
             for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 t = t or ""
-                if keys and (len(keys) >= shard_docs or held + len(t.encode()) > shard_bytes):
+                size = len(t.encode())
+                if keys and (len(keys) >= shard_docs or held + size > shard_bytes):
                     yield shard(keys, texts)
                     keys, texts, held = [], [], 0
                 keys.append(k)
                 texts.append(t)
-                held += len(t.encode())
+                held += size
         if keys:
             yield shard(keys, texts)
 
