@@ -1,9 +1,12 @@
 """Lexical retrieval packing: documents share training sequences with their BM25 neighbours.
 
-A task streams its documents in shards of bounded size. Each shard has an inverted index of its own; a seed document
-fetches its nearest unused neighbours from it, which fill the seed's window, the last of them cut to what is left. A
-shard's sequences are full but for its last one. Nothing is shuffled: shards follow the input's splits, so a repeated
-task packs its rows as before.
+Texts are encoded once, into a table of the shared folder; BM25's terms are the tokens. Document frequencies and the mean
+length are counted over all documents: a number for each token of the vocabulary, however many documents there are.
+Documents are then ordered by minima of hashes that weigh each token by its inverse document frequency, so that those
+with many rare tokens in common, and all copies, come next to each other wherever they stood in the input. Runs of that
+order are the index's shards, each with an inverted index of its own: a seed document fetches its nearest unused
+neighbours from its shard, which fill the seed's window, the last of them cut to what is left. A shard's sequences are
+full but for its last one. The order is total and is taken from the written table, so a repeated task packs as before.
 """
 
 from __future__ import annotations
@@ -17,20 +20,23 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lodestone.llm.common import hash_words, small_batches, table
+from lodestone.llm.common import mix64, small_batches, table, written
 
 WINDOW = 2048
 SHARD_DOCS = 1024
-SHARD_BYTES = 6 << 20
+SHARD_TOKENS = 1 << 21
+ORDERS = 4
 K1, B = 1.2, 0.75
 END = 1
+STORED = "row long, doc_id long, ids binary, counts binary"
 OUT = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
 @lru_cache(maxsize=2)
-def encoder(ranks_file: str, whole_file: str = "byte_bpe_50k.json") -> Callable[[str], list[int]]:
-    """The ids that tokenizers gives with whole_file and without adding special tokens.
+def vocabulary(ranks_file: str, whole_file: str = "byte_bpe_50k.json") -> tuple[Callable[[str], list[int]], np.dtype, int]:
+    """The ids that tokenizers gives with whole_file and without adding special tokens, their type and their number.
 
     The ranks file holds the same vocabulary, and tiktoken gives the same ids several times faster. It knows nothing of
     the tokens that whole_file adds to it, so texts that hold one of their strings go to tokenizers.
@@ -45,24 +51,37 @@ def encoder(ranks_file: str, whole_file: str = "byte_bpe_50k.json") -> Callable[
         ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
     fast = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
     with open(public_tokenizers.path(whole_file)) as f:
-        added = [x["content"] for x in json.load(f)["added_tokens"]]
+        extra = json.load(f)["added_tokens"]
+    added = [x["content"] for x in extra]
+    size = 1 + max(END, *ranks.values(), *(x["id"] for x in extra))
     whole = Tokenizer.from_file(public_tokenizers.path(whole_file))
 
     def encode(text: str) -> list[int]:
         return whole.encode(text, add_special_tokens=False).ids if any(x in text for x in added) else fast(text)
 
-    return encode
+    return encode, np.dtype("<u2" if size <= 1 << 16 else "<u4"), size
+
+
+def encoder(ranks_file: str) -> Callable[[str], list[int]]:
+    return vocabulary(ranks_file)[0]
+
+
+def idf_of(n: int, df: np.ndarray) -> np.ndarray:
+    return np.log((n - df + 0.5) / (df + 0.5))
 
 
 class Bm25:
-    """An inverted index of a shard; terms whose inverse document frequency isn't positive weigh nothing and are left out."""
+    """An inverted index of a shard; terms whose inverse document frequency isn't positive weigh nothing and are left out.
 
-    def __init__(self, terms: np.ndarray, bounds: np.ndarray):
+    idf (by term) and mean are those of all documents; without them the shard's own are taken.
+    """
+
+    def __init__(self, terms: np.ndarray, bounds: np.ndarray, idf: np.ndarray | None = None, mean: float | None = None):
         n = len(bounds) - 1
         self.n = n
-        doc = np.repeat(np.arange(n), np.diff(bounds))
-        order = np.lexsort((doc, terms))
-        t, d = terms[order], doc[order]
+        length = np.diff(bounds)
+        order = np.argsort(terms, kind="stable")  # a term's documents stay in order
+        t, d = terms[order], np.repeat(np.arange(n, dtype=np.int32), length)[order]
         new = np.ones(len(t), bool)
         new[1:] = (t[1:] != t[:-1]) | (d[1:] != d[:-1])
         first = np.flatnonzero(new)
@@ -72,14 +91,13 @@ class Bm25:
         head[1:] = t[1:] != t[:-1]
         at = np.flatnonzero(head)
         df = np.diff(np.append(at, len(t)))
-        idf = np.log((n - df + 0.5) / (df + 0.5))
-        length = np.diff(bounds)
-        mean = max(1.0, length.mean()) if n else 1.0
+        weight = idf_of(n, df) if idf is None else idf[t[at]]
+        mean = max(1.0, length.mean() if n else 1.0) if mean is None else mean
         term = np.cumsum(head) - 1
-        use = (idf[term] > 0) & (df[term] > 1) if len(term) else np.zeros(0, bool)
+        use = (weight[term] > 0) & (df[term] > 1) if len(term) else np.zeros(0, bool)
         d, tf, term = d[use], tf[use], term[use]
         self.doc = d
-        self.weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[d] / mean))
+        self.weight = weight[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[d] / mean))
         kept, self.term = np.unique(term, return_inverse=True)
         self.start = np.searchsorted(self.term, np.arange(len(kept) + 1))
         by_doc = np.argsort(d, kind="stable")
@@ -128,43 +146,118 @@ def fill(sizes: np.ndarray, index: Bm25, window: int = WINDOW) -> Iterator[tuple
         sequence += 1
 
 
-def pack(docs: DataFrame, window: int = WINDOW, shard_docs: int = SHARD_DOCS, shard_bytes: int = SHARD_BYTES, ranks_file: str = "byte_bpe_50k.tiktoken") -> DataFrame:
+def encoded(docs: DataFrame, ranks_file: str) -> DataFrame:
+    """Write each row's ids, closing token included, as 16 or 32 bits by the vocabulary's size; row numbers the rows.
+
+    Each task adds a row of its own: in counts the number of its documents and of their tokens, then how many of its
+    documents hold each token.
+    """
+    small_batches(docs.sparkSession)
+    names = [x.split()[0] for x in STORED.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode, kind, size = vocabulary(ranks_file)
+        row, tokens = TaskContext.get().partitionId() << 40, 0
+        first, df = row, np.zeros(size, dtype=np.int64)
+        for batch in batches:
+            ids = [np.array([*encode(t or ""), END], dtype=kind) for t in batch.column(1).to_pylist()]
+            n = len(ids)
+            for x in ids:
+                df[np.unique(x)] += 1
+                tokens += len(x)
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(row, row + n)), batch.column(0), pa.array([x.tobytes() for x in ids], pa.binary()), pa.nulls(n, pa.binary())], names)
+            row += n
+        if row > first:
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([np.concatenate(([row - first, tokens], df)).tobytes()], pa.binary())], names)
+
+    return written(docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text").mapInArrow(run, STORED), "packing-ids")
+
+
+def corpus_weights(stored: DataFrame) -> tuple[np.ndarray, float]:
+    """Each token's inverse document frequency in all documents (0 where it can't tell them apart), and the mean length."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            for x in batch.column(0).to_pylist():
+                v = np.frombuffer(x, dtype=np.int64)
+                total = v if total is None else total + v
+        if total is not None:
+            at = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at]), pa.array(np.full(len(at), len(total)))], ["at", "n", "size"])
+
+    rows = stored.where("counts is not null").select("counts").mapInArrow(add, "at long, n long, size long").groupBy("at").agg(F.sum("n").alias("n"), F.max("size").alias("size")).collect()
+    total = np.zeros(max((r["size"] for r in rows), default=2), dtype=np.int64)
+    for r in rows:
+        total[r["at"]] = r["n"]
+    n, tokens, df = int(total[0]), int(total[1]), total[2:]
+    return np.where(df > 1, np.maximum(idf_of(n, df), 0), 0), max(1.0, tokens / max(1, n))
+
+
+def hash_orders(idf: np.ndarray, orders: int = ORDERS) -> np.ndarray:
+    """Ranks of the tokens in random orders where those of high weight tend to come first; 0 for tokens without weight.
+
+    The chance that two sets have the same highest rank is the share of their common weight.
+    """
+    out = np.zeros((orders, len(idf)), dtype=np.int32)
+    use = np.flatnonzero(idf > 0)
+    for i in range(orders):
+        u = (mix64(use.astype(np.uint64) + np.uint64((i + 1) << 32)) >> np.uint64(11)).astype(np.float64) + 0.5
+        out[i, use[np.argsort(np.log(u / (1 << 53)) / idf[use], kind="stable")]] = np.arange(1, len(use) + 1)
+    return out
+
+
+def pack(docs: DataFrame, window: int = WINDOW, shard_docs: int = SHARD_DOCS, shard_tokens: int = SHARD_TOKENS, ranks_file: str = "byte_bpe_50k.tiktoken") -> DataFrame:
     """A row per piece of docs (doc_id, text, ...), in OUT's columns.
 
     Null and empty texts have one id, the end. Rows with null or equal doc_ids are packed each by itself. An empty table
     gives no rows. Other columns are ignored. A document longer than a shard makes one alone.
     """
-    small_batches(docs.sparkSession)
+    stored = encoded(docs, ranks_file)
+    idf, mean = corpus_weights(stored)
+    ranks = hash_orders(idf)
+    kind = np.dtype("<u2") if len(idf) <= 1 << 16 else np.dtype("<u4")
+    keys = [f"k{i}" for i in range(len(ranks))]
     names = [x.split()[0] for x in OUT.split(", ")]
 
+    def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        _, bounds, data = column.buffers()
+        at = np.frombuffer(bounds, dtype=np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+        return np.frombuffer(data, dtype=np.uint8)[at[0] : at[-1]].view(kind), (at - at[0]) // kind.itemsize
+
+    def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                ids, at = flat(batch.column(2))
+                yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(np.maximum.reduceat(r[ids], at[:-1])) for r in ranks)], ["row", "doc_id", "ids", *keys])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(ranks_file)
         part, made = TaskContext.get().partitionId(), 0
 
-        def shard(keys: list, texts: list[str]) -> pa.RecordBatch:
+        def shard(docs: list, ids: list[np.ndarray]) -> pa.RecordBatch:
             nonlocal made
-            ids = [np.array([*encode(t), END], dtype="<u4") for t in texts]
             sizes = np.array([len(x) for x in ids], dtype=np.int64)
-            rows = list(fill(sizes, Bm25(*hash_words(pa.array(texts, pa.string()))), window))
-            out = [(keys[d], a, n, zlib.crc32(ids[d][a : a + n].tobytes()), int(sizes[d]), (part << 32) + made + s, o) for d, a, n, s, o in rows]
+            index = Bm25(np.concatenate(ids), np.concatenate(([0], np.cumsum(sizes))), idf, mean)
+            rows = list(fill(sizes, index, window))
+            out = [(docs[d], a, n, zlib.crc32(ids[d][a : a + n].astype("<u4").tobytes()), int(sizes[d]), (part << 32) + made + s, o) for d, a, n, s, o in rows]
             made += 1 + max((r[3] for r in rows), default=-1)
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names)
 
-        keys, texts, held = [], [], 0
+        held, ids, tokens = [], [], 0
         for batch in batches:
-            for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                t = t or ""
-                size = len(t.encode())
-                if keys and (len(keys) >= shard_docs or held + size > shard_bytes):
-                    yield shard(keys, texts)
-                    keys, texts, held = [], [], 0
-                keys.append(k)
-                texts.append(t)
-                held += size
-        if keys:
-            yield shard(keys, texts)
-
-    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text").mapInArrow(run, OUT)
+            for doc, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                x = np.frombuffer(x, dtype=kind)
+                if held and (len(held) >= shard_docs or tokens + len(x) > shard_tokens):
+                    yield shard(held, ids)
+                    held, ids, tokens = [], [], 0
+                held.append(doc)
+                ids.append(x)
+                tokens += len(x)
+        if held:
+            yield shard(held, ids)
+
+    found = stored.where("row is not null").select("row", "doc_id", "ids").mapInArrow(key, ", ".join(["row long, doc_id long, ids binary", *(f"{k} int" for k in keys)]))
+    return found.repartitionByRange(*keys, "row").sortWithinPartitions(*keys, "row").select("doc_id", "ids").mapInArrow(run, OUT)
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
