@@ -44,7 +44,7 @@ def star_join_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    from lodestone.plans import market, relational, resolution  # noqa: F401  they register their queries
+    from lodestone.plans import jobs, market, relational, resolution  # noqa: F401  they register their queries
 
     return dict(_QUERIES)
 

@@ -97,3 +97,52 @@ def test_set_mapping_comps_and_order(spark):
     ran, log = [], []
     status = jobs.in_order([("a", lambda: ran.append("a")), ("b", lambda: 1 / 0), ("c", lambda: ran.append("c"))], log.append)
     assert ran == ["a", "c"] and status == {"a": "success", "b": "error", "c": "success"} and len(log) == 6
+
+
+def test_catalogue_and_group(spark):
+    now = F.lit(5).cast("long")
+    cats = spark.createDataFrame([(3, "Sea Cards Japan", None, None, None, None, None), (4, "Sea Cards", None, None, None, None, True), (9, "Toys", None, None, None, None, None)], "categoryId long, name string, displayName string, modifiedOn string, imageUrl string, seoText string, isDirectBrand boolean")
+    terms = spark.createDataFrame([("jp", "sea cards japan", 0), ("en", "sea cards", 0)], "game string, term string, pos int")
+    groups = spark.createDataFrame([(30, 3, "Deep", "DP", "2020-01-01T00:00:00", None, None), (90, 9, "Toy", None, None, None, None)], "groupId long, categoryId long, name string, abbreviation string, publishedOn string, modifiedOn string, isSupplemental boolean")
+    games = spark.createDataFrame([(1, 3, "old"), (2, 4, "Sea Cards")], "id long, external_id long, name string")
+    sets = spark.createDataFrame([], "external_id long, game_id long, name string, code string, published_on timestamp, vendor_expansion string")
+    names = spark.createDataFrame([("deep", 7)], "name string, vendor_id long")
+    g, s = jobs.catalogue_sync(cats, groups, terms, names, games, sets, now)
+    assert rows(g) == [(1, 3, "Sea Cards Japan"), (2, 4, "Sea Cards")] and rows(s, "external_id", "game_id", "name", "code") == [(30, 1, "Deep", "DP")]
+
+    entry = "array<struct<name:string,value:string>>"
+    items = spark.createDataFrame([(100, 30, 3, "Fox", "Fox", "https://cdn.example.com/100_200w.jpg", "u", None, 1, None, [("Number", "5"), ("Rarity", "R")]), (101, 30, 3, "Box", "Box", "", "u", None, 1, None, [])], f"productId long, groupId long, categoryId long, name string, cleanName string, imageUrl string, url string, modifiedOn string, imageCount int, presaleInfo struct<a:int>, extendedData {entry}")
+    listed = spark.createDataFrame([(100, "Normal", 1.0, 2.0, 3.0, 2.5, None), (999, "Normal", 1.0, 1.0, 1.0, 1.0, None)], "productId long, subTypeName string, lowPrice double, midPrice double, highPrice double, marketPrice double, directLowPrice double")
+    products = spark.createDataFrame([(7, 100, 30, "old", None, None, None, 0)], "id long, external_id long, set_id long, name string, number string, rarity string, kind string, image_count int")
+    held = spark.createDataFrame([(100, "Old", "x"), (100, "@v.cost", "3")], "product_id long, name string, value string")
+    hashes = spark.createDataFrame([(100, "other")], "product_id long, hash string")
+    prices = spark.createDataFrame([], "product_id long, source string, variant string, finish string, condition string, grade string, company string, is_signed int, is_error int, is_perfect int, market double, low double, mid double, high double, updated_at long")
+    got = jobs.group_processing(items, listed, products, images(spark), held, hashes, prices, now, "best.example", "worst.example")
+    assert rows(got["products"], "id", "external_id", "name", "number", "kind") == [(7, 100, "Fox", "5", "card"), (None, 101, "Box", None, "sealed")]
+    assert rows(got["attributes"]) == [(100, "@v.cost", "3"), (100, "Number", "5"), (100, "Rarity", "R")]
+    assert rows(got["prices"], "product_id", "variant", "market") == [(100, "Normal", 2.5)]
+    assert rows(got["images"].filter("product_id = 100"), "source_url") == [("https://cdn.example.com/100_in_1000x1000.jpg",)]
+    again = jobs.group_processing(items, listed, got["products"], got["images"], got["attributes"].filter("name <> 'Number'"), got["hashes"], got["prices"], now, "best.example", "worst.example")
+    assert rows(again["attributes"]) == [(100, "@v.cost", "3"), (100, "Rarity", "R")]  # an unchanged hash writes nothing
+
+
+def test_enrichment_and_fill(spark):
+    now = 1_750_000_000
+    body = '{"id":"c","variants":[{"name":"normal","prices":[{"type":"raw","condition":"nm","currency":"USD","market":"3","low":"2"},{"type":"raw","condition":"lp","currency":"EUR","market":"9"}],"pop_reports":[{"company":"psa","total":"8","grades":[{"grade":"10","count":"3"}]}]}]}'
+    cards = spark.createDataFrame([(1, body)], "product_id long, body string").select("product_id", F.from_json("body", records.CARD).alias("card"))
+    sold = spark.createDataFrame([(1, '[{"id":"s1","title":"t","price":"4","sold_at":"2025-06-01T00:00:00Z"},{"id":"s2","title":"t","price":"4","sold_at":"2020-06-01T00:00:00Z"}]')], "product_id long, body string")
+    days = spark.createDataFrame([(1, '{"history":[{"date":"2025/06/01","market":"3"},{"date":"2019-06-01","market":"3"}]}')], "product_id long, body string")
+    key = "product_id long, source string, variant string, finish string, condition string, grade string, company string, is_signed int, is_error int, is_perfect int"
+    empty = {
+        "prices": key + ", market double, low double, is_graded int, updated_at long", "population": "product_id long, variant string, company string, grade string, count double, total double, updated_at long",
+        "sold": "listing_id string, product_id long, title string, price double, sold_at long", "history": "product_id long, variant string, condition string, grade string, company string, date string, low double, market double",
+    }
+    got = jobs.enrichment(cards, sold, days, {k: spark.createDataFrame([], v) for k, v in empty.items()}, F.lit(150.0), now)
+    assert rows(got["prices"], "product_id", "source", "condition", "market", "low") == [(1, "vendor", "NM", 3.0, 2.0)]
+    assert rows(got["population"], "company", "count", "total") == [("PSA", 3.0, 8.0)]
+    assert rows(got["sold"], "listing_id", "price") == [("s1", 4.0)] and rows(got["history"], "date", "market") == [("2025-06-01", 3.0)]
+
+    vendor = spark.createDataFrame([("c1", [10], "1", "e", "3", ["R", ""]), ("c2", [99], "7", "e", "", None)], "card_id string, market_ids array<long>, number string, expansion string, cost string, colours array<string>")
+    products = spark.createDataFrame([(1, 10, "1", "e"), (2, 11, "7", "e")], "id long, ext_id long, number string, expansion string")
+    stored = spark.createDataFrame([(1, "@v.cost", "2"), (2, "@v.cost", "4"), (1, "Rarity", "R")], "id long, name string, value string")
+    assert rows(jobs.attribute_fill(vendor, products, stored, "v", ["cost", "colours"])) == [(1, "@v.colours", "R"), (1, "@v.cost", "3"), (1, "Rarity", "R"), (2, "@v.cost", "4")]
