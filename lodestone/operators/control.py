@@ -120,6 +120,16 @@ def wider(near: DataFrame, far: DataFrame, by: list[str], few: int = 5) -> DataF
     return met.select(*by, *[F.when(use_far, F.col(f"_b_{c}")).otherwise(F.col(f"_a_{c}")).alias(c) for c in names])
 
 
+def wider_of(summaries: DataFrame, by: list[str], far: str, few: int = 5) -> DataFrame:
+    """wider for summaries of both windows in one table, the long one's where `far` is true: the table is made and read once."""
+    names = [c for c in summaries.columns if c not in (*by, far)]
+    row = F.struct(*names)
+    met = summaries.groupBy(*by).agg(F.max(F.when(~F.col(far), row)).alias("_a"), F.max(F.when(F.col(far), row)).alias("_b"))
+    n = lambda k: F.coalesce(F.col(f"_{k}.n"), F.lit(0))
+    use_far = (n("a") < few) & (n("b") > n("a"))
+    return met.select(*by, *[F.when(use_far, F.col(f"_b.{c}")).otherwise(F.col(f"_a.{c}")).alias(c) for c in names])
+
+
 def clamped(value: int | None, default: int, most: int) -> int:
     """A limit between 1 and most."""
     return max(1, min(most, default if value is None else int(value)))

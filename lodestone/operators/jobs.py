@@ -227,9 +227,10 @@ def attribute_fill(cards: DataFrame, products: DataFrame, attribute_rows: DataFr
 
 def graded_comps(items: DataFrame, near_from: int, few: int = 5) -> DataFrame:
     """(slab, n, median, low, high, low_confidence) of sold listings (slab, name, number, company, grade, title, price, sold_at) that name the slab and nothing else; the long window where the short one has few."""
-    kept = items.filter(~listings.excluded(F.col("title")) & listings.names_item(F.col("title"), F.col("name"), F.col("number"), F.col("company"), F.col("grade")) & (F.col("price") > 0))
-    near = stats.robust_summary(kept.filter(F.col("sold_at") >= near_from), "price", ["slab"])
-    return control.wider(near, stats.robust_summary(kept, "price", ["slab"]), ["slab"], few)
+    kept = items.filter((F.col("price") > 0) & ~listings.excluded(F.col("title")) & listings.names_item(F.col("title"), F.col("name"), F.col("number"), F.col("company"), F.col("grade")))
+    windows = F.when(F.col("sold_at") >= near_from, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(True)))
+    both = kept.select("slab", "price", F.explode(windows).alias("_far")).repartition("slab", "_far")  # one shuffle that every later step reads
+    return control.wider_of(stats.robust_summary(both, "price", ["slab", "_far"]), ["slab"], "_far", few)
 
 
 def in_order(steps: list[tuple[str, Callable[[], object]]], log: Callable[[dict], None]) -> dict[str, str]:

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import unicodedata
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.functions.text import compact, corroborates, language, norm, norm_decimal
+from lodestone.functions.text import compact, corroborates, language, let, norm, norm_decimal
 
 # Terms of listings that are no single item.
 EXCLUDED = [
@@ -30,6 +32,8 @@ GENERIC = [
     "elite", "trainer", "starter", "set", "mini", "japanese", "japan",
     "pokemon", "magic", "gathering", "yugioh", "yu", "gi", "oh", "one", "piece", "lorcana",
 ]
+#: The terms that no shorter one lies in.
+_TERMS = [x for x in EXCLUDED if not any(y in x for y in EXCLUDED if y != x)]
 MOST_TOKENS = 24
 SEARCHED = 3
 FEWEST = 2
@@ -44,18 +48,20 @@ def fold_marks(c: Column) -> Column:
 
 def excluded(title: Column) -> Column:
     """Whether a title, null and empty included, is of no single item."""
-    t = F.coalesce(norm_decimal(title), F.lit(""))
-    return (t == "") | t.rlike(r"\bx\s?\d+\b") | F.exists(F.array(*[F.lit(x) for x in EXCLUDED]), lambda x: F.contains(t, x))
+    hit = lambda t: reduce(or_, [F.contains(t, F.lit(x)) for x in _TERMS], (t == "") | t.rlike(r"\bx\s?\d+\b"))
+    return let(F.coalesce(norm_decimal(title), F.lit("")), hit)
 
 
 def names_item(title: Column, name: Column, number: Column, company: Column, grade: Column) -> Column:
     """Whether a title holds all longer tokens of the name, the number, the company, and the grade as a number of its own."""
-    t = norm_decimal(title)
     tokens = F.filter(F.split(norm_decimal(name), " "), lambda x: F.length(x) >= 3)
     num = compact(F.split(F.trim(F.coalesce(number, F.lit(""))), "/")[0])
     firm, mark = norm_decimal(F.coalesce(company, F.lit(""))), F.trim(F.coalesce(grade, F.lit("")))
-    alone = F.expr("true") if grade is None else (mark == "") | F.regexp_like(t, F.concat(F.lit(r"(?:^|[^0-9.])\Q"), mark, F.lit(r"\E(?:$|[^0-9.])")))
-    fits = (t != "") & (F.size(tokens) > 0) & F.forall(tokens, lambda x: F.contains(t, x)) & ((num == "") | F.contains(compact(title), num)) & ((firm == "") | F.contains(t, firm)) & alone
+    pattern = F.concat(F.lit(r"(?:^|[^0-9.])\Q"), mark, F.lit(r"\E(?:$|[^0-9.])"))
+    alone = lambda t: F.expr("true") if grade is None else (mark == "") | F.regexp_like(t, pattern)
+    every = lambda t: let(tokens, lambda k: (F.size(k) > 0) & F.forall(k, lambda x: F.contains(t, x)))
+    holds = lambda t: (t != "") & every(t) & ((firm == "") | F.contains(t, firm)) & alone(t)
+    fits = ((num == "") | F.contains(compact(title), num)) & let(norm_decimal(title), holds)
     return F.coalesce(fits, F.lit(False))
 
 

@@ -15,10 +15,10 @@ def fence(df: DataFrame, value: str, by: list[str], most: float = 3.5, least: in
     in one task's window.
     """
     centre = df.groupBy(*by).agg(F.median(value).alias("_m"), F.count("*").alias("_n"))
-    with_m = df.join(centre, by)
-    spread = with_m.groupBy(*by).agg(F.median(F.abs(F.col(value) - F.col("_m"))).alias("_d"))
+    # the spread carries what the centre found, so that both joins read the same shuffle and the centre is made once
+    spread = df.join(centre, by).groupBy(*by).agg(F.median(F.abs(F.col(value) - F.col("_m"))).alias("_d"), F.first("_m").alias("_m"), F.first("_n").alias("_n"))
     inside = (F.col("_n") < least) | (F.col("_d") == 0) | (F.abs(F.col(value) - F.col("_m")) <= most * CONSISTENT * F.col("_d"))
-    return with_m.join(spread, by).filter(inside).drop("_m", "_n", "_d")
+    return df.join(spread, by).filter(inside).drop("_m", "_n", "_d")
 
 
 def robust_summary(df: DataFrame, value: str, by: list[str], fence_from: int = 10, few: int = 3, wide: float = 1.5) -> DataFrame:
