@@ -134,10 +134,14 @@ def vendor_match(cards: DataFrame, products: DataFrame, every: bool = False) ->
 
     cards (card_id, market_ids array<long>, number, expansion), products (id, ext_id long, number, expansion).
     """
-    by_id = cards.select("card_id", F.explode("market_ids").alias("ext_id")).join(products.select("id", "ext_id"), "ext_id").select("card_id", "id").distinct()
+    coded = products.select("id", "ext_id") if every else products.groupBy("ext_id").agg(F.min("id").alias("id"))
+    by_id = cards.select("card_id", F.explode("market_ids").alias("ext_id")).join(coded, "ext_id").select("card_id", "id").distinct()
     rest = cards.join(by_id, "card_id", "left_anti")
-    on = [F.lower("c_number") == F.lower("number"), F.col("c_expansion") == F.col("expansion")]
-    by_number = rest.select("card_id", F.col("number").alias("c_number"), F.col("expansion").alias("c_expansion")).join(products, on).select("card_id", "id").distinct()
+    # of many products with one number and expansion only the lowest id meets the cards, so nothing grows with their product
+    filed = products.select("id", F.lower("number").alias("_number"), F.col("expansion").alias("_expansion"))
+    filed = filed if every else filed.groupBy("_number", "_expansion").agg(F.min("id").alias("id"))
+    on = [F.lower("number") == F.col("_number"), F.col("expansion") == F.col("_expansion")]
+    by_number = rest.select("card_id", "number", "expansion").join(filed, on).select("card_id", "id").distinct()
     met = by_id.unionByName(by_number)
     if not every:
         met = met.groupBy("card_id").agg(F.min("id").alias("id"))

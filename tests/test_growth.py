@@ -3,7 +3,7 @@
 import random
 import statistics
 
-from lodestone.operators import jobs
+from lodestone.operators import jobs, matching
 
 
 def test_graded_comps_reads_listings_once(spark, tmp_path):
@@ -33,3 +33,31 @@ def test_graded_comps_reads_listings_once(spark, tmp_path):
     assert {r["slab"]: (r["n"], r["median"], r["low"], r["high"]) for r in got.collect()} == want
     plan = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert plan.count("FileScan parquet") == 1
+
+
+def joined_rows(df):
+    """The most rows that a join of the plan that ran put out."""
+    df.collect()
+    found, todo = [0], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+        elif "QueryStage" in name:
+            todo.append(node.plan())
+        elif name != "ReusedExchange":
+            if "Join" in name:
+                found.append(node.metrics().apply("numOutputRows").value())
+            todo += [node.children().apply(i) for i in range(node.children().size())]
+    return max(found)
+
+
+def test_vendor_match_makes_no_pairs_of_a_group(spark):
+    cards = spark.range(400).selectExpr("id AS card_id", "array(id + 1000) AS market_ids", "concat('B#', id % 2) AS number", "'e' AS expansion")
+    products = spark.range(7, 407).selectExpr("id", "CAST(id + 1390 AS long) AS ext_id", "concat('b#', id % 2) AS number", "'e' AS expansion")
+    got = matching.vendor_match(cards, products)
+    by_id = {x + 1390: x for x in range(7, 407)}
+    assert {r["card_id"]: r["id"] for r in got.collect()} == {c: by_id.get(c + 1000, 8 if c % 2 == 0 else 7) for c in range(400)}
+    assert joined_rows(got) <= 400
+    assert matching.vendor_match(cards, products, every=True).count() == 3 + 397 * 200
