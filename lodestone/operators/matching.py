@@ -37,6 +37,18 @@ def same_print(console: Column, set_name: Column) -> Column:
     return F.coalesce((language(console, MARKERS) == language(set_name, MARKERS)) & corroborates(console, set_name), F.lit(False))
 
 
+def print_of(text: Column, side: str) -> list[Column]:
+    """What backs needs of a text, worked out once a text and not once a pair: <side>_lang, <side>_text."""
+    return [language(text, MARKERS).alias(f"{side}_lang"), norm(text).alias(f"{side}_text")]
+
+
+def backs() -> Column:
+    """same_print over the columns that print_of gives for the sides "a" and "b"."""
+    within = lambda x, y: F.exists(F.split(x, " "), lambda k: (F.length(k) >= 3) & F.contains(y, k))
+    a, b = F.col("a_text"), F.col("b_text")
+    return F.coalesce((F.col("a_lang") == F.col("b_lang")) & (a != "") & (b != "") & (within(a, b) | within(b, a)), F.lit(False))
+
+
 def external_number(c: Column) -> Column:
     """An id that is a whole number above zero; null otherwise, so that blanks never meet."""
     n = F.trim(c.cast("string")).try_cast("double")
@@ -56,33 +68,45 @@ def row_number_key(name: Column) -> Column:
 
 
 def numbered_match(rows: DataFrame, candidates: DataFrame) -> DataFrame:
-    """(row_id, id) by number: an equi-join on the cleaned number, then language, set, name and number must all agree; lowest id of the best."""
-    left = rows.withColumn("num", row_number_key(F.col("name"))).filter("num <> ''")
-    right = candidates.select("id", F.col("name").alias("c_name"), "number", "set_name", clean_number(F.col("number")).alias("num")).filter("num <> ''")
-    want = longer_words(F.col("name"))
+    """(row_id, id) by number: an equi-join on the cleaned number, then language, set, name and number must all agree; lowest id of the best.
+
+    Texts are judged, not rows: equal rows are one, and of equal candidates the lowest id counts. All of a row's longer
+    words lie in the candidate's name, so the first three letters of its longest one are among that name's trigrams.
+    """
+    left = rows.withColumn("num", row_number_key(F.col("name"))).filter("num <> ''").select("row_id", "name", "console", "num")
+    right = candidates.groupBy(F.col("name").alias("c_name"), "number", "set_name").agg(F.min("id").alias("id")).withColumn("num", clean_number(F.col("number"))).filter("num <> ''")
+    texts = left.select("name", "console", "num").distinct().select("*", longer_words(F.col("name")).alias("want"), *print_of(F.col("console"), "a")).filter((F.size("want") > 0) & (F.col("a_text") != ""))
+    longest = F.element_at(F.array_sort(F.transform("want", lambda x: F.struct((-F.length(x)).alias("l"), x.alias("x")))), 1)["x"]
     digits = F.array_join(F.filter(F.split(norm(F.col("name")), " "), lambda x: x.rlike(r"\d")), "")
+    texts = texts.select("name", "console", "num", "want", "a_lang", "a_text", digits.alias("digits"), F.substring(longest, 1, 3).alias("g"))
     hay = F.concat(compact(F.col("c_name")), compact(clean_number(F.col("number"))))
-    score = F.lit(2) + F.when((digits != "") & F.contains(hay, digits), 3).otherwise(0)
-    met = left.join(right, "num").filter((F.size(want) > 0) & F.forall(want, lambda x: F.contains(norm(F.col("c_name")), x)) & same_print(F.col("console"), F.col("set_name")))
-    best = met.withColumn("score", score).filter(F.col("score") >= ACCEPT)
-    return best.groupBy("row_id").agg(F.min("id").alias("id"))
+    filed = right.select("id", "num", norm(F.col("c_name")).alias("c_norm"), hay.alias("hay"), *print_of(F.col("set_name"), "b")).filter("b_text <> ''")
+    filed = filed.select("*", F.explode(trigrams(F.col("c_norm"))).alias("g"))
+    score = F.lit(2) + F.when((F.col("digits") != "") & F.contains(F.col("hay"), F.col("digits")), 3).otherwise(0)
+    on = (texts["num"] == filed["num"]) & (texts["g"] == filed["g"]) & (F.col("a_lang") == F.col("b_lang"))
+    met = texts.join(filed, on).filter((score >= ACCEPT) & F.forall("want", lambda x: F.contains(F.col("c_norm"), x)) & backs())
+    best = met.groupBy("name", "console").agg(F.min("id").alias("id"))
+    return left.join(best, ["name", "console"]).groupBy("row_id").agg(F.min("id").alias("id"))
 
 
 def contained_match(rows: DataFrame, candidates: DataFrame) -> DataFrame:
     """(row_id, id) of rows without a number whose name and console hold all longer words of exactly one candidate of its language and set.
 
     Words are held as substrings. A candidate is filed under the rarest of its words' first three letters; rows bring
-    their trigrams, so an equi-join finds what the test then verifies.
+    their trigrams, so an equi-join finds what the test then verifies. Equal rows are one there, and so are candidates
+    with equal words and set, of which the lowest and the highest id tell whether there is one only.
     """
-    need = candidates.select("id", "set_name", longer_words(F.col("name")).alias("need")).filter("size(need) > 0")
-    heads = need.select("id", F.explode(F.array_distinct(F.transform("need", lambda x: F.substring(x, 1, 3)))).alias("g"))
-    rarest = heads.join(heads.groupBy("g").agg(F.count("*").alias("f")), "g").groupBy("id").agg(F.min(F.struct("f", "g")).alias("k")).select("id", F.col("k.g").alias("g"))
-    filed = rarest.join(need, "id")
+    need = candidates.select("id", "set_name", longer_words(F.col("name")).alias("need")).filter("size(need) > 0").groupBy("need", "set_name").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
+    heads = need.select("*", F.explode(F.array_distinct(F.transform("need", lambda x: F.substring(x, 1, 3)))).alias("g"))
+    rarest = heads.join(heads.groupBy("g").agg(F.count("*").alias("f")), "g").groupBy("need", "set_name", "lo", "hi").agg(F.min(F.struct("f", "g")).alias("k"))
+    filed = rarest.select("need", "lo", "hi", F.col("k.g").alias("g"), *print_of(F.col("set_name"), "b")).filter("b_text <> ''")
     hay = F.trim(F.concat_ws(" ", norm(F.col("name")), norm(F.col("console"))))
     have = rows.filter(norm(F.col("name")) != "").select("row_id", "console", hay.alias("hay"))
-    met = have.select("*", F.explode(trigrams(F.col("hay"))).alias("g")).join(filed, "g")
-    fits = met.filter(F.forall("need", lambda x: F.contains(F.col("hay"), x)) & same_print(F.col("console"), F.col("set_name")))
-    return fits.groupBy("row_id").agg(F.min("id").alias("id"), F.max("id").alias("_hi")).filter("id = _hi").select("row_id", "id")
+    texts = have.select("hay", "console").distinct().select("*", *print_of(F.col("console"), "a")).filter("a_text <> ''").select("*", F.explode(trigrams(F.col("hay"))).alias("g"))
+    met = texts.join(filed, (texts["g"] == filed["g"]) & (F.col("a_lang") == F.col("b_lang")))
+    fits = met.filter(F.forall("need", lambda x: F.contains(F.col("hay"), x)) & backs())
+    found = fits.groupBy("hay", "console").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    return have.join(found, ["hay", "console"]).groupBy("row_id").agg(F.min("lo").alias("id"), F.max("hi").alias("_hi")).filter("id = _hi").select("row_id", "id")
 
 
 def ladder(rows: DataFrame, stamped: DataFrame, candidates: DataFrame) -> DataFrame:

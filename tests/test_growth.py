@@ -61,3 +61,18 @@ def test_vendor_match_makes_no_pairs_of_a_group(spark):
     assert {r["card_id"]: r["id"] for r in got.collect()} == {c: by_id.get(c + 1000, 8 if c % 2 == 0 else 7) for c in range(400)}
     assert joined_rows(got) <= 400
     assert matching.vendor_match(cards, products, every=True).count() == 3 + 397 * 200
+
+
+def test_ladder_judges_texts_once(spark):
+    rows = spark.range(600).selectExpr("id AS row_id", "CASE WHEN id % 2 = 0 THEN 'Red Fox #7' WHEN id % 3 = 0 THEN 'Blue Owl #7' ELSE 'Red Foxes #7/9' END AS name", "CASE WHEN id % 5 = 0 THEN 'Deep Sea Japanese' WHEN id % 7 = 0 THEN NULL ELSE 'The Deep Sea' END AS console", "'' AS ext_id", "false AS sealed")
+    candidates = spark.range(5, 605).selectExpr("id", "CAST(NULL AS string) AS ext_id", "CASE WHEN id % 2 = 0 THEN 'Red Fox 7' ELSE 'Old Owl' END AS name", "'007' AS number", "IF(id % 4 < 2, 'Deep', 'Deep Japanese') AS set_name", "'card' AS kind")
+    got = matching.numbered_match(rows, candidates)
+    lowest = {True: min(i for i in range(5, 605) if i % 2 == 0 and i % 4 >= 2), False: min(i for i in range(5, 605) if i % 4 == 0)}
+    assert {r["row_id"]: r["id"] for r in got.collect()} == {i: lowest[i % 5 == 0] for i in range(0, 600, 2) if i % 5 == 0 or i % 7}
+    assert joined_rows(got) <= 600
+
+    plain = rows.selectExpr("row_id", "replace(replace(name, '#7/9', ''), '#7', '') AS name", "console")
+    one = candidates.filter("id = 6 OR (id % 2 = 1 AND id > 6)").selectExpr("id", "IF(id = 6, 'Red Fox', 'Owl') AS name", "'Deep' AS set_name")
+    met = matching.contained_match(plain, one)
+    assert {r["row_id"]: r["id"] for r in met.collect()} == {i: 6 for i in range(600) if i % 5 and i % 7 and (i % 2 == 0 or i % 3)}
+    assert joined_rows(met) <= 600
