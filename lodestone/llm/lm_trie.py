@@ -41,16 +41,21 @@ BUFFER = 3_000_000
 U = np.uint64
 
 
+#: The place of the r-th one of a byte at [r << 8 | byte]; 10 to the power of each quantised logarithm.
+_SELECT = np.array([([i for i in range(8) if b >> i & 1] + [0] * 8)[r] for r in range(8) for b in range(256)], np.int64)
+_POWER = 10 ** (-np.arange(1 << 16) / QUANT)
+_EACH, _TOP = U(0x0101010101010101), U(0x8080808080808080)
+
+
 def select_in_word(w: np.ndarray, r: np.ndarray) -> np.ndarray:
-    """The place of the r-th one (from 0) of each word."""
-    at = np.zeros(len(w), np.int64)
-    for s in (32, 16, 8, 4, 2, 1):
-        c = np.bitwise_count(w & U((1 << s) - 1)).astype(np.int64)
-        up = r >= c
-        r = np.where(up, r - c, r)
-        w = np.where(up, w >> U(s), w)
-        at += up * s
-    return at
+    """The place of the r-th one (from 0) of each word: running sums of the bytes' ones tell its byte, a table its place there."""
+    r = r.astype(U)
+    x = w - (w >> U(1) & U(0x5555555555555555))
+    x = (x & U(0x3333333333333333)) + (x >> U(2) & U(0x3333333333333333))
+    x = (x + (x >> U(4)) & U(0x0F0F0F0F0F0F0F0F)) * _EACH
+    at = np.bitwise_count((r * _EACH | _TOP) - x & _TOP).astype(U) << U(3)
+    r = r - ((x << U(8)) >> at & U(255))
+    return at.astype(np.int64) + _SELECT[(w >> at & U(255) | (r & U(7)) << U(8)).astype(np.int64)]
 
 
 def pack_sequence(values: np.ndarray, name: str) -> tuple[dict[str, np.ndarray], dict]:
@@ -93,7 +98,7 @@ class Sequence:
         return (self.packed[w] >> o | (self.packed[w + 1] << U(1)) << (U(63) - o)) & U((1 << self.low) - 1)
 
     def access(self, i: np.ndarray) -> np.ndarray:
-        w = np.searchsorted(self.one, i, side="right") - 1
+        w = np.searchsorted(self.one, i.astype(np.uint32), side="right") - 1
         at = w * 64 + select_in_word(self.h[w], i - self.one[w].astype(np.int64))
         return (at - i).astype(U) << U(self.low) | self.low_bits(i) if self.low else (at - i).astype(U)
 
@@ -101,7 +106,7 @@ class Sequence:
         return self.access(i) + U(self.base)
 
     def _zero(self, k: np.ndarray) -> np.ndarray:
-        w = np.searchsorted(self.zero, k, side="right") - 1
+        w = np.searchsorted(self.zero, k.astype(np.uint32), side="right") - 1
         return w * 64 + select_in_word(~self.h[w], k - self.zero[w].astype(np.int64))
 
     def _clear(self, bit: np.ndarray) -> np.ndarray:
@@ -158,7 +163,7 @@ def write_shard(uri: str, arrays: dict[str, np.ndarray], info: dict) -> None:
 
 class Shard:
     def __init__(self, uri: str):
-        raw = store_map(uri)
+        raw = np.asarray(store_map(uri))  # a plain array: slices of a memmap cost as much as small searches
         n = int.from_bytes(raw[:8].tobytes(), "little")
         head = json.loads(raw[8 : 8 + n].tobytes())
         self.info = head["info"]
@@ -189,11 +194,18 @@ class Level:
             yield int(ranked[a]), np.arange(a, b) if order is None else order[a:b]
 
     def find(self, keys: np.ndarray) -> np.ndarray:
-        out = np.full(len(keys), -1, np.int64)
-        for s, sel in self._each(np.searchsorted(self.first, keys, side="right") - 1):
+        """The node of each key, -1 where absent. Each distinct key is searched once and in order, so that searches next to one another read the same memory."""
+        order = np.argsort(keys)
+        ranked = keys[order]
+        heads = heads_of(ranked)
+        u = ranked[heads]
+        got = np.full(len(u), -1, np.int64)
+        for s, sel in self._each(np.searchsorted(self.first, u, side="right") - 1):
             if s >= 0:
-                got = self.shards[s].keys.find(keys[sel])
-                out[sel] = np.where(got >= 0, got + self.begin[s], -1)
+                at = self.shards[s].keys.find(u[sel])
+                got[sel] = np.where(at >= 0, at + self.begin[s], -1)
+        out = np.empty(len(keys), np.int64)
+        out[order] = np.repeat(got, np.diff(np.append(heads, len(keys))))
         return out
 
     def gather(self, name: str, ids: np.ndarray) -> np.ndarray:
@@ -241,8 +253,8 @@ class Level:
                 continue
             info, p = self.shards[s].info, parents[sel]
             inside = p <= info["p1"]
-            q = self.shards[s].a["left"][p[inside] - info["p0"]].astype(float)
-            out[sel[inside]] = 10 ** (-q / QUANT)
+            q = self.shards[s].a["left"][p[inside] - info["p0"]]
+            out[sel[inside]] = _POWER[q]
         if len(self.lent[0]):
             i = np.minimum(np.searchsorted(self.lent[0], parents), len(self.lent[0]) - 1)
             out = np.where(self.lent[0][i] == parents, self.lent[1][i], out)
@@ -253,7 +265,7 @@ class Level:
         out = np.zeros(len(ids))
         sel = np.flatnonzero(ids >= 0)
         if len(sel):
-            out[sel] = 10 ** (-self.gather("prob", ids[sel]) / QUANT)
+            out[sel] = _POWER[self.gather("prob", ids[sel])]
         return out
 
 
@@ -269,11 +281,6 @@ def opened(uri: str) -> list[Level]:
     return _OPEN[uri]
 
 
-def distinct_find(level: Level, keys: np.ndarray) -> np.ndarray:
-    back, u = pd.factorize(keys)
-    return level.find(u)[back]
-
-
 def token_ids(levels: list[Level], texts: pa.Array) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
     """(bounds of texts among tokens, node ids of each order at each token, whether a token starts its text)."""
     h, at = hash_words(texts)
@@ -289,7 +296,7 @@ def token_ids(levels: list[Level], texts: pa.Array) -> tuple[np.ndarray, list[np
     fresh[bounds[:-1]] = True
     ids = []
     if levels:
-        ids.append(distinct_find(levels[0], tokens))
+        ids.append(levels[0].find(tokens))
     for k in range(1, len(levels)):
         ids.append(next_ids(levels, k, ids, fresh))
     return bounds, ids, fresh
