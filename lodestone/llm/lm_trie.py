@@ -19,7 +19,6 @@ import json
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +36,8 @@ SHARD_CHARS = 16 << 20
 LEAST_SHARDS = 16
 END = int(mix64(np.array([0x5E4D], np.uint64))[0])
 BUFFER = 3_000_000
+#: Bytes of texts whose n-grams are searched together.
+POOL = 8 << 20
 
 U = np.uint64
 
@@ -89,6 +90,7 @@ class Sequence:
     def __init__(self, arrays: dict[str, np.ndarray], name: str, info: dict):
         self.h, self.one, self.zero, self.packed = (arrays[f"{name}_{x}"] for x in ("h", "one", "zero", "low"))
         self.n, self.low, self.base = info["n"], info["low"], info["base"]
+        self.most: int | None = None
 
     def low_bits(self, i: np.ndarray) -> np.ndarray:
         if not self.low:
@@ -121,30 +123,31 @@ class Sequence:
         return (w << 6) + np.bitwise_count((free & -free) - U(1)).astype(np.int64)
 
     def find(self, x: np.ndarray) -> np.ndarray:
-        """The place of each value, -1 where absent: successor search among those with the same high bits."""
+        """The place of each of some ascending values in a sequence of distinct ones, -1 where absent: a search among those with the same high bits."""
         out = np.full(len(x), -1, np.int64)
-        sel = np.flatnonzero(x >= U(self.base)) if self.n else np.zeros(0, np.int64)
-        y = x[sel] - U(self.base)
-        most = int(self.access(np.array([self.n - 1]))[0]) if self.n else 0
-        sel, y = sel[y <= U(most)], y[y <= U(most)]
-        if not len(sel):
+        if not self.n:
             return out
-        high = (y >> U(self.low)).astype(np.int64)
-        want = y & U((1 << self.low) - 1)
-        bit = np.where(high > 0, self._zero(np.maximum(high - 1, 0)) + 1, 0)
+        if self.most is None:
+            self.most = int(self.value(np.array([self.n - 1]))[0])
+        a, b = int(np.searchsorted(x, U(self.base))), int(np.searchsorted(x, U(self.most), side="right"))
+        if a >= b:
+            return out
+        y = x[a:b] - U(self.base)
+        high = (y >> U(self.low)).view(np.int64)
+        bit = self._zero(np.maximum(high - 1, 0)) + 1
+        bit[: np.searchsorted(high, 1)] = 0
         lo, hi = bit - high, self._clear(bit) - high
-        end = hi.copy()
-        while True:  # the first of the run whose low bits aren't less
-            open_ = np.flatnonzero(lo < hi)
-            if not len(open_):
-                break
-            mid = (lo[open_] + hi[open_]) >> 1
-            less = self.low_bits(mid) < want[open_]
-            lo[open_[less]] = mid[less] + 1
-            hi[open_[~less]] = mid[~less]
-        there = np.flatnonzero(lo < end)
-        there = there[self.low_bits(lo[there]) == want[there]]
-        out[sel[there]] = lo[there]
+        open_ = np.flatnonzero(lo < hi)
+        at, lo, hi, want = open_ + a, lo[open_], hi[open_], (y & U((1 << self.low) - 1))[open_]
+        while len(at):
+            mid = (lo + hi) >> 1
+            found = self.low_bits(mid)
+            hit = found == want
+            out[at[hit]] = mid[hit]
+            less = found < want
+            lo, hi = np.where(less, mid + 1, lo), np.where(less, hi, mid)
+            open_ = np.flatnonzero((lo < hi) & ~hit)
+            at, lo, hi, want = at[open_], lo[open_], hi[open_], want[open_]
         return out
 
 
@@ -184,29 +187,28 @@ class Level:
         self.size, self.total = int(self.begin[-1]), int(self.mass[-1])
         self.lent = (np.array([p for p, _ in meta.get("lent", [])], np.int64), np.array([x for _, x in meta.get("lent", [])], float))
 
-    def _each(self, where: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    def _each(self, where: np.ndarray) -> Iterator[tuple[int, np.ndarray | slice]]:
         if not len(where):
             return
         order = None if (where[1:] >= where[:-1]).all() else np.argsort(where.astype(np.int16 if len(self.shards) < 1 << 15 else np.int32), kind="stable")
         ranked = where if order is None else where[order]
         cuts = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1], [True])))
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            yield int(ranked[a]), np.arange(a, b) if order is None else order[a:b]
+            yield int(ranked[a]), slice(a, b) if order is None else order[a:b]
 
-    def find(self, keys: np.ndarray) -> np.ndarray:
-        """The node of each key, -1 where absent. Each distinct key is searched once and in order, so that searches next to one another read the same memory."""
-        order = np.argsort(keys)
-        ranked = keys[order]
-        heads = heads_of(ranked)
-        u = ranked[heads]
+    def search(self, u: np.ndarray) -> np.ndarray:
+        """The node of each of some ascending distinct keys, -1 where absent: searches next to one another read the same memory."""
         got = np.full(len(u), -1, np.int64)
         for s, sel in self._each(np.searchsorted(self.first, u, side="right") - 1):
             if s >= 0:
                 at = self.shards[s].keys.find(u[sel])
                 got[sel] = np.where(at >= 0, at + self.begin[s], -1)
-        out = np.empty(len(keys), np.int64)
-        out[order] = np.repeat(got, np.diff(np.append(heads, len(keys))))
-        return out
+        return got
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The node of each key, -1 where absent. Each distinct key is searched once."""
+        some, place = distinct(keys)
+        return self.search(keys[some])[place]
 
     def gather(self, name: str, ids: np.ndarray) -> np.ndarray:
         """An array's values at ids."""
@@ -238,7 +240,7 @@ class Level:
             info, shard = self.shards[s].info, self.shards[s]
             p = parents[sel]
             inside = (p >= info["p0"]) & (p <= info["p1"])
-            got = np.full(len(sel), self.begin[s + 1], np.int64)
+            got = np.full(len(p), self.begin[s + 1], np.int64)
             if inside.any():
                 got[inside] = shard.starts.value(p[inside] - info["p0"]).astype(np.int64) + self.begin[s]
             out[sel] = got
@@ -253,21 +255,14 @@ class Level:
                 continue
             info, p = self.shards[s].info, parents[sel]
             inside = p <= info["p1"]
-            q = self.shards[s].a["left"][p[inside] - info["p0"]]
-            out[sel[inside]] = _POWER[q]
+            got = np.ones(len(p))
+            got[inside] = _POWER[self.shards[s].a["left"][p[inside] - info["p0"]]]
+            out[sel] = got
         if len(self.lent[0]):
             i = np.minimum(np.searchsorted(self.lent[0], parents), len(self.lent[0]) - 1)
             out = np.where(self.lent[0][i] == parents, self.lent[1][i], out)
         return out
 
-    def found(self, ids: np.ndarray) -> np.ndarray:
-        """Discounted probabilities of nodes, 0 for -1."""
-        out = np.zeros(len(ids))
-        sel = np.flatnonzero(ids >= 0)
-        if len(sel):
-            out[sel] = _POWER[self.gather("prob", ids[sel])]
-        return out
-
 
 _OPEN: dict[str, list[Level]] = {}
 
@@ -281,51 +276,113 @@ def opened(uri: str) -> list[Level]:
     return _OPEN[uri]
 
 
-def token_ids(levels: list[Level], texts: pa.Array) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
-    """(bounds of texts among tokens, node ids of each order at each token, whether a token starts its text)."""
-    h, at = hash_words(texts)
-    docs = len(at) - 1
-    bounds = at + np.arange(docs + 1)
-    tokens = np.empty(len(h) + docs, U)
-    last = bounds[1:] - 1
-    ends = np.zeros(len(tokens), bool)
-    ends[last] = True
-    tokens[ends] = U(END)
-    tokens[~ends] = h
-    fresh = np.zeros(len(tokens), bool)
-    fresh[bounds[:-1]] = True
-    ids = []
-    if levels:
-        ids.append(levels[0].find(tokens))
-    for k in range(1, len(levels)):
-        ids.append(next_ids(levels, k, ids, fresh))
-    return bounds, ids, fresh
-
-
-def next_keys(levels: list[Level], k: int, ids: list[np.ndarray], fresh: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray]:
-    """Tokens that end an n-gram of k + 1 words which level k could hold, and the n-grams' keys."""
-    before = np.concatenate(([-1], ids[k - 1][:-1]))
-    if k == 1:  # what comes first follows an end
-        end = int(levels[0].find(np.array([END], U))[0])
-        before = np.where(fresh, end, before)
-        sel = np.flatnonzero((before >= 0) & (ids[0] >= 0))
-        label = ids[0][sel]
-    else:
-        sel = np.flatnonzero((before >= 0) & (ids[k - 1] >= 0) & ~fresh)
-        context = np.concatenate(([-1], ids[k - 2][:-1]))[sel]
-        back, u = pd.factorize(context)
-        label = ids[k - 1][sel] - levels[k - 1].start(u)[back]
-    return sel, before[sel].astype(U) * U(m) + label.astype(U)
-
-
-def next_ids(levels: list[Level], k: int, ids: list[np.ndarray], fresh: np.ndarray) -> np.ndarray:
-    out = np.full(len(fresh), -1, np.int64)
-    if levels[k].size:
-        sel, keys = next_keys(levels, k, ids, fresh, levels[k].meta["m"])
-        out[sel] = levels[k].find(keys)
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each distinct key, by size, occurs, and each key's place among them.
+
+    Keys are sorted with their places in one number. Where both don't fit, keys lose low bits at first, and a second sort
+    mends what little is out of order.
+    """
+    n = len(keys)
+    if not n:
+        return np.zeros(0, np.int64), np.zeros(0, np.int32)
+    least, bits = keys.min(), U((n - 1).bit_length())
+    drop = U(max(0, int(keys.max() - least).bit_length() + int(bits) - 64))
+    both = (keys - least) >> drop << bits | np.arange(n, dtype=U)
+    both.sort()
+    order = (both & (U(1) << bits) - U(1)).view(np.int64)
+    ranked = keys[order] if drop else both >> bits
+    if drop and (ranked[1:] < ranked[:-1]).any():
+        again = np.argsort(ranked, kind="stable")
+        order, ranked = order[again], ranked[again]
+    new = np.ones(n, bool)
+    np.not_equal(ranked[1:], ranked[:-1], out=new[1:])
+    place = np.empty(n, np.int32)
+    place[order] = np.cumsum(new, dtype=np.int32) - 1
+    return order[new], place
+
+
+def of_nodes(nodes: np.ndarray, value, absent: float = 0) -> np.ndarray:
+    """value of the nodes, absent for -1."""
+    sel = np.flatnonzero(nodes >= 0)
+    got = value(nodes[sel])
+    out = np.full(len(nodes), absent, got.dtype)
+    out[sel] = got
     return out
 
 
+class Grams:
+    """The n-grams of each order that end at each token of some texts; whatever is asked of a level is asked once of each distinct one, in order.
+
+    nodes[k] holds the nodes of distinct n-grams of k + 1 words and a last -1; place[k] tells which of them ends at a
+    token, -1 where none can. bounds are the texts' among tokens.
+    """
+
+    def __init__(self, levels: list[Level], texts: pa.Array, orders: int):
+        self.levels = levels
+        h, at = hash_words(texts)
+        docs = len(at) - 1
+        self.bounds = at + np.arange(docs + 1)
+        tokens = np.full(len(h) + docs, U(END))
+        word = np.ones(len(tokens), bool)
+        word[self.bounds[1:] - 1] = False
+        tokens[word] = h
+        some, place = distinct(tokens)
+        self.place, self.nodes = [place], [np.append(levels[0].search(tokens[some]), -1)]
+        self.parents = np.zeros(0, np.int64)
+        for k in range(1, orders):
+            sel, parent, label, rank = self.keys(k)
+            some, found = distinct(rank)
+            self.parents = parent[some]
+            self.nodes.append(np.append(levels[k].search(key_of(levels, self.parents, label[some])), -1))
+            place = np.full(len(tokens), -1, np.int32)
+            place[sel] = found
+            self.place.append(place)
+
+    def labels(self, k: int) -> np.ndarray:
+        """The rank of each node of level k, the last that was searched, among its context's successors."""
+        nodes = self.nodes[k]
+        if not k:
+            return nodes
+        heads = heads_of(self.parents)
+        start = np.repeat(self.levels[k].start(self.parents[heads]), np.diff(np.append(heads, len(self.parents))))
+        return np.append(nodes[:-1] - start, -1)
+
+    def before(self, k: int) -> np.ndarray:
+        """Which n-gram of k + 1 words ends before each token. The word before a text is an end, as before the first text that at the end of the last."""
+        out = np.roll(self.place[k], 1)
+        if k:
+            out[self.bounds[:-1]] = -1
+        return out
+
+    def keys(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Tokens that end an n-gram of k + 1 words which level k could hold, its parents and labels, and numbers of the same order as the keys', but smaller."""
+        nodes, before, here = self.nodes[k - 1], self.before(k - 1), self.place[k - 1]
+        known = nodes >= 0
+        sel = np.flatnonzero(known[before] & known[here])
+        if len(sel) < len(here):
+            before, here = before[sel], here[sel]
+        label = self.labels(k - 1)[here]
+        return sel, nodes[before], label, key_of(self.levels, before, label)
+
+
+def key_of(levels: list[Level], parent: np.ndarray, label: np.ndarray) -> np.ndarray:
+    return parent.astype(U) * U(levels[0].size) + label.astype(U)
+
+
+def pooled(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
+    """Batches put together to POOL bytes of their texts: a search of many keys at once costs less for each."""
+    held, size = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            size += batch.column(column).nbytes
+        if size >= POOL:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def packed(x: np.ndarray) -> bytes:
     """Byte planes of an array, compressed: small numbers take few bytes."""
     planes = np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T)
@@ -375,15 +432,13 @@ def _counted(uri: str | None, k: int, shards: int):
             x, c = x[heads], np.diff(np.append(heads, len(x)))
             return merge_counts([done[0], x], [done[1], c]) if len(done[0]) else (x, c)
 
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in pooled(batches, 0):
             if k == 0:
                 h, at = hash_words(batch.column(0))
                 raw += [h, np.full(len(at) - 1, END, U)]
             else:
-                _, ids, fresh = token_ids(levels[:k], batch.column(0))
-                raw.append(next_keys(levels, k, ids, fresh, m)[1])
+                _, parent, label, _ = Grams(levels, batch.column(0), k).keys(k)
+                raw.append(key_of(levels, parent, label))
             held += len(raw[-1]) + (len(raw[-2]) if k == 0 else 0)
             if held > BUFFER:
                 done, raw, held = summed(), [], 0
@@ -489,40 +544,32 @@ def train(docs: DataFrame, order: int = ORDER, least: int = LEAST_COUNT) -> dict
 SCORES = "doc_id long, n_tokens long, n_known long, base_score double, score double"
 
 
-def score(docs: DataFrame, model: dict) -> DataFrame:
-    """SCORES for each row of docs (doc_id, text, ...): null text is empty and has one token, its end."""
-    small_batches(docs.sparkSession)
-    uri, total, distinct = model["uri"], model["tokens"], model["words"]
+def _scored(uri: str, total: int, words: int):
+    """Scores texts (doc_id, text) by the model at uri of total tokens, words of them distinct."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels = opened(uri)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            bounds, ids, fresh = token_ids(levels, batch.column(1))
-            first = ids[0]
-            known = first >= 0
-            count = np.zeros(len(first), np.int64)
-            back, u = pd.factorize(first[known])
-            count[known] = levels[0].count(u)[back]
-            p = (count + 1) / (total + distinct + 1)
-            base = np.log10(p)
+        for batch in pooled(batches, 1):
+            grams = Grams(levels, batch.column(1), len(levels))
+            nodes, place = grams.nodes[0], grams.place[0]
+            p = (of_nodes(nodes, levels[0].count) + 1) / (total + words + 1)
+            known, base, p = (nodes >= 0)[place], np.log10(p)[place], p[place]
             for k in range(1, len(levels)):
-                context = np.concatenate(([-1], ids[k - 1][:-1]))
-                if k == 1:
-                    context = np.where(fresh, int(levels[0].find(np.array([END], U))[0]), context)
-                else:
-                    context = np.where(fresh, -1, context)
-                sel = np.flatnonzero(context >= 0)
-                if len(sel) and levels[k].size:
-                    back, u = pd.factorize(context[sel])
-                    p[sel] = levels[k].found(ids[k][sel]) + levels[k].left(u)[back] * p[sel]
-            sums = lambda x: np.add.reduceat(x, bounds[:-1])
+                if levels[k].size:
+                    p *= of_nodes(grams.nodes[k - 1], levels[k].left, 1)[grams.before(k - 1)]
+                    p += of_nodes(grams.nodes[k], lambda x, k=k: _POWER[levels[k].gather("prob", x)])[grams.place[k]]
+            sums = lambda x: np.add.reduceat(x, grams.bounds[:-1])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.diff(bounds)), pa.array(sums(known.astype(np.int64))), pa.array(sums(base)), pa.array(sums(np.log10(p)))], [x.split()[0] for x in SCORES.split(", ")]
+                [batch.column(0), pa.array(np.diff(grams.bounds)), pa.array(sums(known.astype(np.int64))), pa.array(sums(base)), pa.array(sums(np.log10(p)))], [x.split()[0] for x in SCORES.split(", ")]
             )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SCORES)
+    return run
+
+
+def score(docs: DataFrame, model: dict) -> DataFrame:
+    """SCORES for each row of docs (doc_id, text, ...): null text is empty and has one token, its end."""
+    small_batches(docs.sparkSession)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_scored(model["uri"], model["tokens"], model["words"]), SCORES)
 
 
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
