@@ -11,6 +11,7 @@ full but for its last one. The order is total and is taken from the written tabl
 
 from __future__ import annotations
 
+import copy
 import json
 import zlib
 from collections.abc import Callable, Iterator
@@ -35,11 +36,12 @@ OUT = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, se
 
 
 @lru_cache(maxsize=2)
-def vocabulary(ranks_file: str, whole_file: str = "byte_bpe_50k.json") -> tuple[Callable[[str], list[int]], np.dtype, int]:
+def vocabulary(ranks_file: str, whole_file: str = "byte_bpe_50k.json") -> tuple[Callable[[str], np.ndarray], np.dtype, int]:
     """The ids that tokenizers gives with whole_file and without adding special tokens, their type and their number.
 
     The ranks file holds the same vocabulary, and tiktoken gives the same ids several times faster. It knows nothing of
-    the tokens that whole_file adds to it, so texts that hold one of their strings go to tokenizers.
+    the rules of the tokens that whole_file adds to it, so texts that hold one of their strings go to tokenizers. It is told
+    of them only as it hands out arrays by a call that looks for some.
     """
     import base64
 
@@ -49,21 +51,26 @@ def vocabulary(ranks_file: str, whole_file: str = "byte_bpe_50k.json") -> tuple[
 
     with open(public_tokenizers.path(ranks_file), "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
-    fast = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
     with open(public_tokenizers.path(whole_file)) as f:
         extra = json.load(f)["added_tokens"]
     added = [x["content"] for x in extra]
     size = 1 + max(END, *ranks.values(), *(x["id"] for x in extra))
     whole = Tokenizer.from_file(public_tokenizers.path(whole_file))
+    fast = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={x["content"]: x["id"] for x in extra})
 
-    def encode(text: str) -> list[int]:
-        return whole.encode(text, add_special_tokens=False).ids if any(x in text for x in added) else fast(text)
+    def encode(text: str) -> np.ndarray:
+        if not added:
+            return np.array(fast.encode_ordinary(text), dtype=np.uint32)
+        if any(x in text for x in added):
+            return np.array(whole.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+        return fast.encode_to_numpy(text, disallowed_special=())
 
     return encode, np.dtype("<u2" if size <= 1 << 16 else "<u4"), size
 
 
 def encoder(ranks_file: str) -> Callable[[str], list[int]]:
-    return vocabulary(ranks_file)[0]
+    encode = vocabulary(ranks_file)[0]
+    return lambda text: encode(text).tolist()
 
 
 def idf_of(n: int, df: np.ndarray) -> np.ndarray:
@@ -104,6 +111,13 @@ class Bm25:
         self.terms_of = self.term[by_doc]
         self.doc_at = np.searchsorted(d[by_doc], np.arange(n + 1))
 
+    def among(self, open_: np.ndarray) -> Bm25:
+        """The index with open documents only in its lists; their scores for any seed stay the same."""
+        out, use = copy.copy(self), open_[self.doc]
+        out.doc, out.weight = self.doc[use], self.weight[use]
+        out.start = np.concatenate(([0], np.cumsum(use)))[self.start]
+        return out
+
     def scores(self, seed: int) -> np.ndarray:
         """Of every document for all of the seed's terms."""
         q = self.terms_of[self.doc_at[seed] : self.doc_at[seed + 1]]
@@ -119,6 +133,7 @@ def fill(sizes: np.ndarray, index: Bm25, window: int = WINDOW) -> Iterator[tuple
     n = len(sizes)
     done = np.zeros(n, dtype=np.int64)
     open_ = np.ones(n, bool)
+    listed = n
     sequence = 0
     for seed in range(n):
         if not open_[seed]:
@@ -134,6 +149,8 @@ def fill(sizes: np.ndarray, index: Bm25, window: int = WINDOW) -> Iterator[tuple
         yield seed, int(done[seed]), used, sequence, 0
         rest = np.flatnonzero(open_)
         if len(rest):
+            if len(rest) < 0.8 * listed:  # lists are read by every seed to come
+                index, listed = index.among(open_), len(rest)
             near = rest[np.argsort(-index.scores(seed)[rest], kind="stable")]
             for doc in near:
                 size = int(min(sizes[doc] - done[doc], window - used))
@@ -158,14 +175,24 @@ def encoded(docs: DataFrame, ranks_file: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, kind, size = vocabulary(ranks_file)
         row, tokens = TaskContext.get().partitionId() << 40, 0
-        first, df = row, np.zeros(size, dtype=np.int64)
+        first, df, last, end = row, np.zeros(size, dtype=np.int64), np.zeros(size, dtype=np.int32), np.array([END], dtype=np.uint32)
         for batch in batches:
-            ids = [np.array([*encode(t or ""), END], dtype=kind) for t in batch.column(1).to_pylist()]
-            n = len(ids)
-            for x in ids:
-                df[np.unique(x)] += 1
-                tokens += len(x)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(row, row + n)), batch.column(0), pa.array([x.tobytes() for x in ids], pa.binary()), pa.nulls(n, pa.binary())], names)
+            n = batch.num_rows
+            if not n:
+                continue
+            ids = [encode(t or "") for t in batch.column(1).to_pylist()]
+            at = np.concatenate(([0], np.cumsum([len(x) + 1 for x in ids])))
+            flat = np.concatenate([part for x in ids for part in (x, end)])
+            if at[-1] * kind.itemsize >= 1 << 31:
+                raise ValueError("the ids of a batch exceed 2 GB")
+            places, every = flat.astype(np.intp), np.arange(at[-1], dtype=np.int32)
+            for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):  # of a document's equal tokens that counts which is written last
+                x, i = places[a:b], every[a:b]
+                last[x] = i
+                df[x[last[x] == i]] += 1
+            tokens += len(flat)
+            stored = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer((at * kind.itemsize).astype(np.int32)), pa.py_buffer(flat.astype(kind))])
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(row, row + n)), batch.column(0), stored, pa.nulls(n, pa.binary())], names)
             row += n
         if row > first:
             yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([np.concatenate(([row - first, tokens], df)).tobytes()], pa.binary())], names)

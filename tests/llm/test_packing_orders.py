@@ -71,3 +71,31 @@ def test_a_seed_takes_its_best_unused_neighbours():
     first = [r for r in rows if r[3] == 0]
     want = sorted((d for d in range(1, 80)), key=lambda d: (-plain(0, d), d))
     assert [r[0] for r in first][1:] == want[: len(first) - 1]
+
+
+def test_lists_lose_used_documents(monkeypatch):
+    """Seeds read lists without the documents that are used up, and find the same neighbours as in whole lists."""
+    rng = random.Random(11)
+    texts = [np.array([rng.randrange(60) for _ in range(rng.randrange(1, 50))]) for _ in range(200)]
+    at = np.concatenate(([0], np.cumsum([len(x) for x in texts])))
+    make = lambda: packing.Bm25(np.concatenate(texts), at, np.linspace(0, 3, 60), 25.0)
+    whole, read, scores = make(), [], packing.Bm25.scores
+    monkeypatch.setattr(packing.Bm25, "scores", lambda self, seed: read.append(len(self.doc)) or scores(whole, seed))
+    want = list(packing.fill(np.diff(at), make(), 64))
+    monkeypatch.setattr(packing.Bm25, "scores", scores)
+    assert list(packing.fill(np.diff(at), make(), 64)) == want
+    assert read == sorted(read, reverse=True) and read[-1] < read[0] / 2
+    some = np.arange(200) % 3 == 0
+    assert (whole.among(some).scores(0)[some] == whole.scores(0)[some]).all() and not whole.among(some).scores(0)[~some].any()
+
+
+def test_stored_ids_are_those_of_tokenizers(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = [None, "", " ", "a <|endoftext|> b", "<|endoftext|><|endoftext|>", "<|endoftext", "äöü ß 漢字 \U0001f600‍", "a\x00b\r\n\n  c", "tha " * 3000, "'s're 12³"]
+    rows = packing.encoded(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3), "byte_bpe_50k.tiktoken").where("row is not null").collect()
+    assert len({r["row"] for r in rows}) == len(texts)
+    for r in rows:
+        assert np.frombuffer(r["ids"], "<u2").tolist() == [*plain.encode(texts[r["doc_id"]] or "", add_special_tokens=False).ids, packing.END]
